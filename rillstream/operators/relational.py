@@ -175,9 +175,9 @@ def estimate(sketches: DataFrame, keys) -> DataFrame:
         F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))
 
 
-def partials(df: DataFrame, key: str, ts: str, seconds: int) -> DataFrame:
-    """Mergeable per-bucket counts of one block of rows."""
-    return df.groupBy(key, epoch_bucket(ts, seconds).alias("bucket")).agg(
+def partials(df: DataFrame, keys: Sequence[str | Column], ts: str, seconds: int) -> DataFrame:
+    """Mergeable per-bucket counts of one or more blocks of rows."""
+    return df.groupBy(*keys, epoch_bucket(ts, seconds).alias("bucket")).agg(
         F.count(F.lit(1)).alias("n"))
 
 

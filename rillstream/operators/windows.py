@@ -62,6 +62,19 @@ class Trailing:
     def _value(self) -> Column:
         return F.col(self.value) if isinstance(self.value, str) else self.value
 
+    def over(self, frame) -> Column:
+        """The aggregate as a plain window expression (few inputs to shuffle)."""
+        inputs = self.inputs()
+        if self.agg == "count":
+            whole = self.where is None and self.value is None
+            return (F.count(F.lit(1)) if whole else F.sum(inputs["n"])).over(frame)
+        total = F.sum(inputs["s"]).over(frame)
+        if self.agg == "sum":
+            return total
+        if self.agg == "avg":
+            return total.cast("double") / F.count(inputs["s"]).over(frame).cast("double")
+        raise ValueError(f"unsupported trailing aggregate {self.agg!r}")
+
     def result(self, sums: dict[str, Column]) -> Column:
         if self.agg == "count":
             return sums["n"]
@@ -122,8 +135,7 @@ def rolling_plain(df, keys, order, specs) -> DataFrame:
     results = {}
     for name, spec in specs.items():
         frame = Window.partitionBy(*keys).orderBy(axis).rangeBetween(-spec.bound(), 0)
-        sums = {k: F.sum(c).over(frame) for k, c in spec.inputs().items()}
-        results[name] = spec.result(sums)
+        results[name] = spec.over(frame)
     return df.withColumns(results)
 
 
