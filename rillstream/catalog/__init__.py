@@ -4,10 +4,10 @@ from .base import Catalog, Entry
 
 
 def all_entries() -> dict[str, Entry]:
-    from . import access, cards, changes, learning, relational
+    from . import access, cards, changes, learning, relational, streaming
 
     merged: dict[str, Entry] = {}
-    for module in (cards, relational, changes, access, learning):
+    for module in (cards, relational, changes, access, learning, streaming):
         overlap = merged.keys() & module.CATALOG.keys()
         if overlap:
             raise ValueError(f"registered twice: {sorted(overlap)}")

@@ -52,7 +52,7 @@ summary AS (
 """
 
 
-def _details(snapshot: str) -> str:
+def details_sql(snapshot: str) -> str:
     return fx.oracle("txn cust", SUMMARY + f""",
 snap AS ({snapshot})
 SELECT cc_num, total_priority, CAST(alert_amt AS DOUBLE) AS alert_amt, alert_ts, snap.ts AS ts,
@@ -62,7 +62,7 @@ SELECT cc_num, total_priority, CAST(alert_amt AS DOUBLE) AS alert_amt, alert_ts,
 FROM snap JOIN summary USING (cc_num)""")
 
 
-def _plain(df):
+def plain(df):
     """Driver-friendly types: DECIMAL as DOUBLE, derived averages rounded."""
     return df.withColumns({
         "alert_amt": F.col("alert_amt").cast("double"),
@@ -71,18 +71,18 @@ def _plain(df):
     })
 
 
-@CATALOG.query("fraud_alert_details", _details(
+@CATALOG.query("fraud_alert_details", details_sql(
     "SELECT * FROM features QUALIFY row_number() OVER (PARTITION BY cc_num ORDER BY ts DESC, event_id DESC) = 1"))
 def fraud_alert_details(spark, sf_dir):
-    return _plain(cards.fraud_alert_details(fx.txn(spark, sf_dir), fx.cust(spark, sf_dir), ALERTS))
+    return plain(cards.fraud_alert_details(fx.txn(spark, sf_dir), fx.cust(spark, sf_dir), ALERTS))
 
 
-@CATALOG.query("min_snapshot", _details(
+@CATALOG.query("min_snapshot", details_sql(
     "SELECT cc_num, max(ts) AS ts, min(amt) AS amt, min(category) AS category, min(shipping_lat) AS shipping_lat, "
     "min(shipping_long) AS shipping_long, min(distance) AS distance, min(avg_7day) AS avg_7day "
     "FROM features GROUP BY cc_num"))
 def min_snapshot(spark, sf_dir):
-    return _plain(cards.fraud_alert_details(
+    return plain(cards.fraud_alert_details(
         fx.txn(spark, sf_dir), fx.cust(spark, sf_dir), ALERTS, latest="min"))
 
 

@@ -247,7 +247,7 @@ def train_test_split(spark, d):
 MODEL_FEATURES = [c for c in ft.FEATURE_COLUMNS if c not in ("cc_num", "is_fraud", "unix_time")]
 
 
-def _labelled(spark, d):
+def labelled(spark, d):
     """The feature view with a learnable label: large night-time spending."""
     rows = _features(spark, d)
     risky = (F.col("amt") > 2 * F.col("avg_spend_pm")) & (F.col("hour_of_day") < 12)
@@ -257,7 +257,7 @@ def _labelled(spark, d):
 @q("train_classifier")
 def train_classifier(spark, d):
     """Fit on the training share of the feature view, predict the test share."""
-    train, test = ft.split(_labelled(spark, d), "event_id")
+    train, test = ft.split(labelled(spark, d), "event_id")
     model = ml.train(train, MODEL_FEATURES, "is_fraud", depth=5, rounds=10)
     return ml.predict(model, test).select("event_id", "is_fraud", "prediction")
 

@@ -56,9 +56,8 @@ def stream_distinct(stream: DataFrame, keys: Sequence[str], ts: str, size: str,
     Distinct values are first deduplicated in keyed state, which spreads a hot
     key over (key, value) groups; the remaining rows are only counted.
     """
-    windowed = stream.withColumn("__w", F.window(ts, size))
-    unique = windowed.dropDuplicates([*keys, "__w", *cols]).select(*keys, ts, *cols)
-    counts = unique.groupBy(*keys, F.window(ts, size).alias("w")).agg(F.count(F.lit(1)).alias(name))
+    unique = stream.select(*keys, F.window(ts, size).alias("w"), *cols).dropDuplicates([*keys, "w", *cols])
+    counts = unique.groupBy(*keys, "w").agg(F.count(F.lit(1)).alias(name))
     return counts.select(
         *keys, F.col("w.start").cast("timestamp_ntz").alias("window_start"),
         F.col("w.end").cast("timestamp_ntz").alias("window_end"), name)
