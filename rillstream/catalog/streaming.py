@@ -209,12 +209,11 @@ FROM txn WINDOW w AS (PARTITION BY cc_num ORDER BY ts RANGE BETWEEN INTERVAL 7 D
   v AS (PARTITION BY cc_num ORDER BY ts RANGE BETWEEN INTERVAL 3 DAY PRECEDING AND CURRENT ROW)"""
 
 
-def _specs():
-    return {
-        "n_7d": win.Trailing(win.days(7)),
-        "sum_7d": win.Trailing(win.days(7), "sum", "amt"),
-        "gifts_3d": win.Trailing(win.days(3), where=F.col("category") == "gift card"),
-    }
+SPECS = {
+    "n_7d": win.Trailing(win.days(7)),
+    "sum_7d": win.Trailing(win.days(7), "sum", "amt"),
+    "gifts_3d": win.Trailing(win.days(3), where="category = 'gift card'"),
+}
 
 
 def _history(spark):
@@ -225,7 +224,7 @@ def _rolling_state(spark, d):
     shape = T.StructType.fromDDL(
         "cc_num bigint, ts timestamp_ntz, event_id bigint, n_7d bigint, sum_7d decimal(38,2), gifts_3d bigint")
     store = KeyedStore(spark, scratch(spark, "roll"), shape, ["cc_num", "ts", "event_id"], BUCKETS, ["cc_num"])
-    _run(spark, d, mt.RollingMaintainer(_history(spark), store, ["cc_num"], "ts", _specs()))
+    _run(spark, d, mt.RollingMaintainer(_history(spark), store, ["cc_num"], "ts", SPECS))
     return store.current()
 
 
@@ -238,7 +237,7 @@ def stream_rolling(spark, d):
 def batch_stream_diff(spark, d):
     """Rolling features of one batch run against the micro-batched run of the same rows."""
     names = ["cc_num", "ts", "event_id", "n_7d", "sum_7d", "gifts_3d"]
-    batch = win.rolling(fx.txn(spark, d), ["cc_num"], "ts", _specs()).select(*names)
+    batch = win.rolling(fx.txn(spark, d), ["cc_num"], "ts", SPECS).select(*names)
     diff = mt.batch_stream_diff(batch, _rolling_state(spark, d), ["event_id"])
     return rel.total(batch, "n_rows").join(F.broadcast(rel.total(diff, "n_diff")))
 

@@ -41,7 +41,7 @@ class Trailing:
     horizon: timedelta | int
     agg: str = "count"  # count | sum | avg
     value: Column | str | None = None
-    where: Column | None = None
+    where: Column | str | None = None  # a string is SQL text
 
     def bound(self) -> int:
         if isinstance(self.horizon, timedelta):
@@ -50,7 +50,8 @@ class Trailing:
 
     def inputs(self) -> dict[str, Column]:
         """The additive inputs this aggregate needs."""
-        hit = F.lit(True) if self.where is None else F.coalesce(self.where, F.lit(False))
+        where = F.expr(self.where) if isinstance(self.where, str) else self.where
+        hit = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
         if self.agg == "count":
             seen = hit if self.value is None else hit & self._value().isNotNull()
             return {"n": F.when(seen, F.lit(1)).otherwise(F.lit(0)).cast("bigint")}

@@ -48,16 +48,15 @@ def shared_dir(spark: SparkSession) -> str:
     driver and executors share one disk, may fall back to a temporary folder.
     """
     sc = spark.sparkContext
-    named = spark.conf.get(CHECKPOINT_KEY, None) or sc.getConf().get(CHECKPOINT_KEY, None)
-    current = sc.getCheckpointDir()
-    if current is None:
-        if named is None:
+    named = spark.conf.get(CHECKPOINT_KEY, None)
+    if sc.getCheckpointDir() is None:
+        folder = named
+        if folder is None:
             if not sc.master.startswith("local"):
                 raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-            named = tempfile.mkdtemp(prefix="rillstream-")
-            spark.conf.set(CHECKPOINT_KEY, named)
-        sc.setCheckpointDir(named)
-    return named or current
+            folder = tempfile.mkdtemp(prefix="rillstream-")
+        sc.setCheckpointDir(folder)
+    return named or sc.getCheckpointDir()
 
 
 def scratch(spark: SparkSession, label: str) -> str:
