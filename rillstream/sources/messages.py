@@ -28,14 +28,16 @@ def decode_json(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 # -- Debezium -----------------------------------------------------------------
 
-def _wire_type(kind: T.DataType) -> T.DataType:
+def _wire_type(kind: T.DataType, flavor: str) -> T.DataType:
     """How a value of this type travels in a Debezium JSON envelope."""
     if isinstance(kind, T.DateType):
         return T.IntegerType()  # days since the epoch
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return T.LongType()  # milliseconds since the epoch
-    if isinstance(kind, (T.DecimalType, T.BinaryType, T.VariantType)) or kind.typeName().startswith("time("):
+    if isinstance(kind, (T.DecimalType, T.BinaryType, T.VariantType, T.TimeType)):
         return T.StringType()  # exact text, base64, JSON text, HH:MM:SS
+    if isinstance(kind, T.BooleanType) and flavor == "mysql":
+        return T.StringType()  # true/false or the 0/1 of a TINYINT(1)
     return kind
 
 
@@ -48,12 +50,10 @@ def _from_wire(c: Column, kind: T.DataType, flavor: str) -> Column:
         return F.unbase64(c)
     if isinstance(kind, T.VariantType):
         return F.try_parse_json(c)
-    if isinstance(kind, T.DecimalType):
-        return c.cast(kind)
-    if kind.typeName().startswith("time("):
+    if isinstance(kind, (T.DecimalType, T.TimeType)):
         return c.cast(kind)
     if isinstance(kind, T.BooleanType) and flavor == "mysql":
-        return c
+        return F.when(c.isNotNull(), c.isin("1", "true"))
     return c
 
 
@@ -66,7 +66,7 @@ def _to_wire(c: Column, kind: T.DataType) -> Column:
         return F.base64(c)
     if isinstance(kind, T.VariantType):
         return F.to_json(c)
-    if isinstance(kind, T.DecimalType) or kind.typeName().startswith("time("):
+    if isinstance(kind, (T.DecimalType, T.TimeType)):
         return c.cast("string")
     return c
 
@@ -80,7 +80,7 @@ def decode_debezium(df: DataFrame, schema: T.StructType, flavor: str = "postgres
     """
     if flavor not in ("postgres", "mysql"):
         raise ValueError("flavor must be 'postgres' or 'mysql'")
-    wire = T.StructType([T.StructField(f.name, _wire_type(f.dataType)) for f in schema])
+    wire = T.StructType([T.StructField(f.name, _wire_type(f.dataType, flavor)) for f in schema])
     source = T.StructType([
         T.StructField("lsn", T.LongType()), T.StructField("pos", T.LongType()), T.StructField("ts_ms", T.LongType())])
     envelope = T.StructType([

@@ -84,7 +84,7 @@ def _value(plan: FieldPlan, kind: T.DataType, i: Column, name: str, seed: int) -
         table = F.array(*[F.lit(v) for v in _AGENTS])
         out = F.element_at(table, (F.floor(_unit(i, name, seed) * len(_AGENTS)) + 1).cast("int"))
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        lo, hi = (int(_utc(b).timestamp() * 1000) for b in plan.bounds)
+        lo, hi = (int(_utc(b).timestamp() * 1000) for b in plan.bounds or ("1970-01-01", "2070-01-01"))
         out = F.timestamp_millis(_draw(plan, lo, hi - lo, i, name, seed))
     elif isinstance(kind, (T.DoubleType, T.FloatType)):
         lo, hi = plan.bounds or (0.0, 1.0)

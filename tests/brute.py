@@ -5,6 +5,8 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 from decimal import Decimal
 
+from pyspark.sql import types as T
+
 
 def trailing(rows, key, ts, horizon: timedelta, pick=lambda r: True):
     """For each row, the rows of its key within [ts - horizon, ts] that ``pick`` accepts."""
@@ -50,3 +52,15 @@ TXN_DDL = (
     "shipping_lat double, shipping_long double"
 )
 CUST_DDL = "cc_num bigint, name string, lat double, long double"
+
+
+_KINDS = {
+    "bigint": T.LongType(), "int": T.IntegerType(), "string": T.StringType(), "double": T.DoubleType(),
+    "boolean": T.BooleanType(), "timestamp_ntz": T.TimestampNTZType(), "decimal(38,2)": T.DecimalType(38, 2),
+}
+
+
+def schema(ddl: str) -> T.StructType:
+    """A schema from DDL text without a running session."""
+    fields = [part.strip().split(" ", 1) for part in ddl.replace("(38,2)", "(38;2)").split(",")]
+    return T.StructType([T.StructField(n, _KINDS[k.replace(";", ",")]) for n, k in fields])
