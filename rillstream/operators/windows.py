@@ -6,13 +6,14 @@ rows with an equal time, as SQL RANGE frames are.
 
 Two plans give identical results:
 
-* cold keys: Spark window functions, one Exchange and one Sort for all horizons;
+* cold keys: Spark window functions, one Exchange and one Sort for all horizons; a
+  trailing sum is the difference of two running sums, so time is linear in the rows;
 * hot keys: every row becomes one arrival (+value) and, per horizon, one expiry
   (-value) just after it leaves the frame. A trailing sum is then a running sum,
   which splits at any point in time: (key, slice) totals are pre-aggregated, their
   running total is the carry into each slice, and slices run in parallel.
 
-The running sums subtract, so summed values must be integral or DECIMAL.
+Running sums are subtracted in both plans, so summed values must be integral or DECIMAL.
 """
 
 from __future__ import annotations
@@ -63,19 +64,6 @@ class Trailing:
     def _value(self) -> Column:
         return F.col(self.value) if isinstance(self.value, str) else self.value
 
-    def over(self, frame) -> Column:
-        """The aggregate as a plain window expression (few inputs to shuffle)."""
-        inputs = self.inputs()
-        if self.agg == "count":
-            whole = self.where is None and self.value is None
-            return (F.count(F.lit(1)) if whole else F.sum(inputs["n"])).over(frame)
-        total = F.sum(inputs["s"]).over(frame)
-        if self.agg == "sum":
-            return total
-        if self.agg == "avg":
-            return total.cast("double") / F.count(inputs["s"]).over(frame).cast("double")
-        raise ValueError(f"unsupported trailing aggregate {self.agg!r}")
-
     def result(self, sums: dict[str, Column]) -> Column:
         if self.agg == "count":
             return sums["n"]
@@ -132,12 +120,37 @@ def rolling_parts(
 
 
 def rolling_plain(df, keys, order, specs) -> DataFrame:
-    axis = time_axis(df, order)
-    results = {}
+    """Difference of two running sums: everything up to now minus everything before the frame.
+
+    Both have an unbounded start, which Spark extends row by row, so a partition
+    costs its number of rows; a sliding frame would be summed anew for each row.
+    """
+    inputs: dict[str, tuple[str, Column]] = {}  # equal inputs are summed once
+    wanted: dict[str, dict[str, tuple[str, int]]] = {}
     for name, spec in specs.items():
-        frame = Window.partitionBy(*keys).orderBy(axis).rangeBetween(-spec.bound(), 0)
-        results[name] = spec.over(frame)
-    return df.withColumns(results)
+        for part, c in spec.inputs().items():
+            acc, _ = inputs.setdefault(str(c), (f"__acc{len(inputs)}", c))
+            wanted.setdefault(name, {})[part] = (acc, spec.bound())
+
+    rows = df.select("*", time_axis(df, order).alias("__at"), *[
+        F.coalesce(c, F.lit(0)).alias(a) for a, c in inputs.values()])
+    # SQL text keeps the many small expressions to one call each.
+    over = f"OVER (PARTITION BY {', '.join(f'`{k}`' for k in keys)} ORDER BY __at RANGE BETWEEN UNBOUNDED PRECEDING AND"
+    pairs = sorted({pair for parts in wanted.values() for pair in parts.values()})
+    rows = rows.selectExpr(
+        *[f"`{c}`" for c in df.columns], "__at",
+        *[f"sum({a}) {over} CURRENT ROW) AS {a}_now" for a, _ in inputs.values()],
+        *[f"coalesce(sum({a}) {over} {h + 1} PRECEDING), 0) AS {a}_{h}" for a, h in pairs])
+    # Rows without a time are one another's peers and have nothing before them.
+    trailing = {
+        (a, h): F.expr(f"{a}_now - CASE WHEN __at IS NULL THEN 0 ELSE {a}_{h} END").cast(rows.schema[f"{a}_now"].dataType)
+        for a, h in pairs
+    }
+    results = [
+        specs[name].result({part: trailing[pair] for part, pair in parts.items()}).alias(name)
+        for name, parts in wanted.items()
+    ]
+    return rows.select(*df.columns, *results)
 
 
 def rolling_sliced(df: DataFrame, keys: Sequence[str], order: str, specs: dict[str, Trailing]) -> DataFrame:

@@ -35,6 +35,7 @@ def local_session(app: str = "rillstream", cpus: int | str = "*", shuffle: int =
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call-site capture per expression
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -15,11 +15,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Rows per key above which the time-sliced plan is used. A sliding RANGE frame
-# costs rows x rows-in-frame, so the limit is deliberately low.
-HOT_ROWS = 20_000
+# Rows per key above which the time-sliced plan is used: about what one task
+# sorts and scans in a few seconds.
+HOT_ROWS = 2_000_000
 # Average rows aimed at per (key, slice) of a hot key.
-SLICE_ROWS = 5_000
+SLICE_ROWS = 200_000
 # A key table with at most this many rows (about 40 bytes each) is broadcast.
 BROADCAST_ROWS = 500_000
 

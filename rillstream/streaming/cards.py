@@ -80,17 +80,19 @@ class CardAlertMaintainer:
         one_day = F.make_dt_interval(days=F.lit(1))
         start_of = lambda c: F.date_trunc("day", c).cast("timestamp_ntz")
         ranges = fresh.groupBy("cc_num").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).select(
-            "cc_num", start_of("lo").alias("__lo"), (start_of("hi") + horizon + one_day).alias("__hi"))
-        n = ranges.count()
+            "cc_num", start_of("lo").alias("__lo"), (start_of("hi") + horizon + one_day).alias("__hi")).persist()
+        cached = ranges
+        buckets, n = self.history.profile(ranges)
         ranges = bounded_broadcast(ranges, n)
-        buckets = self.history.buckets_of(fresh)
         context = self.history.read(epoch, buckets).join(ranges, "cc_num").filter(
             (F.col("ts") >= F.col("__lo") - horizon) & (F.col("ts") < F.col("__hi")))
         home = bounded_broadcast(self.cust.join(ranges, "cc_num", "left_semi"), n)
-        rows = alert_aggregates(context, home, self.params)
+        rows = alert_aggregates(context, home, self.params, self.history.hot_limit(epoch, buckets))
         changed = day_partials(rows.filter(F.col("ts") >= F.col("__lo")), self.params)
         self.days.write(changed.withColumn("op", F.lit("insert")), epoch)
         touched = ranges.select("cc_num")
         after = roll_up(self.days.current(epoch, buckets, only=touched, on=["cc_num"]), self.params)
         before = self.result.current(epoch - 1, buckets, only=touched)
-        return emit(self.result, before, after.select(*RESULT_SCHEMA.names), epoch)
+        changes = emit(self.result, before, after.select(*RESULT_SCHEMA.names), epoch)
+        cached.unpersist()
+        return changes

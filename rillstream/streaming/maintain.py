@@ -54,19 +54,22 @@ class RollingMaintainer:
     def __call__(self, batch: DataFrame, epoch: int) -> DataFrame:
         self.history.write(batch.filter(F.col(self.order).isNotNull()), epoch)
         touched = self.history.only(epoch)
-        ranges = _range_of(touched, self.keys, self.order)
-        small = bounded_broadcast(ranges, ranges.count())
-        buckets = self.history.buckets_of(touched)
+        ranges = _range_of(touched, self.keys, self.order).persist()
+        buckets, n = self.history.profile(ranges)
+        small = bounded_broadcast(ranges, n)
         late = self.horizon  # rows up to one horizon after a late row change too
         context = (
             self.history.read(epoch, buckets).join(small, self.keys)
             .filter(F.col(self.order).between(_shift("__lo", self.horizon, -1), _shift("__hi", late, 1)))
         )
-        full = rolling(self.prepare(context), self.keys, self.order, self.specs)
+        hot = self.history.hot_limit(epoch, buckets)
+        full = rolling(self.prepare(context), self.keys, self.order, self.specs, hot)
         after = full.filter(
             F.col(self.order).between(F.col("__lo"), _shift("__hi", late, 1))).drop("__lo", "__hi")
         before = self._stored(small, buckets if self.store.shares_buckets(self.history) else None, epoch)
-        return emit(self.store, before, after.select(*self.store.schema.names), epoch)
+        changes = emit(self.store, before, after.select(*self.store.schema.names), epoch)
+        ranges.unpersist()
+        return changes
 
     def _stored(self, small: DataFrame, buckets, epoch: int) -> DataFrame:
         """Stored results in the affected ranges."""
@@ -85,9 +88,8 @@ class LagMaintainer:
     def __call__(self, batch: DataFrame, epoch: int) -> DataFrame:
         self.history.write(batch, epoch)
         touched = self.history.only(epoch)
-        ranges = _range_of(touched, self.keys, self.order)
-        n = ranges.count()
-        buckets = self.history.buckets_of(touched)
+        ranges = _range_of(touched, self.keys, self.order).persist()
+        buckets, n = self.history.profile(ranges)
         rows = self.history.read(epoch, buckets)
         ts = F.col(self.order)
         # One row per key: where its neighbours outside the batch's range lie.
@@ -95,14 +97,18 @@ class LagMaintainer:
             F.min("__lo").alias("__lo"),
             F.coalesce(F.max(F.when(ts < F.col("__lo"), ts)), F.min("__lo")).alias("__from"),
             F.coalesce(F.min(F.when(ts > F.col("__hi"), ts)), F.max("__hi")).alias("__to"))
-        near = bounded_broadcast(near, n)
+        cached = near.persist()
+        near = bounded_broadcast(cached, n)
         context = rows.join(near, self.keys).filter(ts.between(F.col("__from"), F.col("__to")))
-        full = lag_cols(context, self.keys, self.order, self.cols, self.tie)
+        full = lag_cols(context, self.keys, self.order, self.cols, self.tie, self.history.hot_limit(epoch, buckets))
         after = full.filter(ts.between(F.col("__lo"), F.col("__to"))).drop("__lo", "__from", "__to")
         pruned = buckets if self.store.shares_buckets(self.history) else None
         before = self.store.current(epoch - 1, pruned, only=near, on=self.keys).join(near, self.keys).filter(
             ts.between(F.col("__lo"), F.col("__to"))).drop("__lo", "__from", "__to")
-        return emit(self.store, before, after.select(*self.store.schema.names), epoch)
+        changes = emit(self.store, before, after.select(*self.store.schema.names), epoch)
+        ranges.unpersist()
+        cached.unpersist()
+        return changes
 
 
 class KeyMaintainer:
@@ -118,8 +124,8 @@ class KeyMaintainer:
     def __call__(self, batch: DataFrame, epoch: int) -> DataFrame:
         self.history.write(batch, epoch)
         touched = self.history.only(epoch).select(*self.history.keys).distinct()
-        small = bounded_broadcast(touched, touched.count())
-        buckets = self.history.buckets_of(touched)
+        buckets, n = self.history.profile(touched)
+        small = bounded_broadcast(touched, n)
         rows = self.history.read(epoch, buckets).join(small, self.history.keys, "left_semi")
         pruned = buckets if self.store.shares_buckets(self.history) else None
         before = self.store.current(epoch - 1, pruned, only=small, on=self.history.keys)

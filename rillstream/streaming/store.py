@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..skew import HOT_ROWS
+
 EPOCH, BUCKET, OP = "epoch", "kb", "op"
 
 
@@ -36,6 +38,11 @@ class _EpochTable:
         """Buckets the given keys fall into: at most ``self.buckets`` numbers."""
         return sorted(r[0] for r in keys.select(self.bucket().alias(BUCKET)).distinct().collect())
 
+    def profile(self, keys: DataFrame) -> tuple[list[int], int]:
+        """Buckets and number of the given distinct keys, in one job."""
+        found = keys.groupBy(self.bucket().alias(BUCKET)).agg(F.count(F.lit(1)).alias("n")).collect()
+        return sorted(r[BUCKET] for r in found), sum(r["n"] for r in found)
+
     def _place(self, rows: DataFrame, epoch: int, order: Sequence[str]) -> None:
         """Replace the epoch's directory: clustered by bucket, sorted inside for row-group pruning.
 
@@ -82,6 +89,13 @@ class History(_EpochTable):
     def read(self, upto: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
         return self._read(upto, buckets).drop(EPOCH, BUCKET)
 
+    def hot_limit(self, upto: int, buckets: Sequence[int]) -> int | None:
+        """None when the buckets hold too few rows for any key to be hot.
+
+        A count of whole files comes from their footers.
+        """
+        return HOT_ROWS if self.read(upto, buckets).count() > HOT_ROWS else None
+
     def only(self, epoch: int) -> DataFrame:
         """The rows one epoch brought."""
         return self._read(None, None).filter(F.col(EPOCH) == epoch).drop(EPOCH, BUCKET)
