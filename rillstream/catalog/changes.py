@@ -96,6 +96,17 @@ def debezium_json_decode(spark, d):
     return _dbl(messages.debezium_changes(messages.decode_debezium(_envelopes(spark, d), ORDER)), "price")
 
 
+@q("avro_decode_options", "SELECT event_id, CAST(7 + event_id % 3 AS INTEGER) AS schema_id, event_type AS body FROM events")
+def avro_decode_options(spark, d):
+    """Registry framing taken off event payloads: a zero byte, the schema id, the body."""
+    framed = F.concat(
+        F.unhex(F.lpad(F.hex(7 + F.col("event_id") % 3), 10, "0")), F.col("event_type").cast("binary"),
+        F.lit("|").cast("binary"), F.col("event_id").cast("string").cast("binary"))
+    body = messages.avro_body(fx.table(spark, d, "events").select(framed.alias("value")))
+    parts = F.split(F.col("value").cast("string"), "[|]")
+    return body.select(parts[1].cast("bigint").alias("event_id"), "schema_id", parts[0].alias("body"))
+
+
 @q("csv_multirecord_decode", o("interactions", "SELECT interaction_id, user_id, video_id, interaction_type, watch_time FROM interactions"))
 def csv_multirecord_decode(spark, d):
     """Blocks of newline-separated records, one block per user and day."""

@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import timedelta
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -105,25 +106,40 @@ def rolling(
 ) -> DataFrame:
     """Add one trailing aggregate column per entry of ``specs``."""
     _check_exact(df, specs)
-    parts = split_hot(df, keys, time_axis(df, order), hot_rows)
+    parts = split_hot(df, keys, time_axis(df, order), hot_rows, decimal_values(df, specs))
     return rolling_parts(parts, keys, order, specs)
 
 
+def decimal_values(df: DataFrame, specs: dict[str, Trailing]) -> list[Column]:
+    """The DECIMAL values that are summed."""
+    values = {str(s.value): s._value() for s in specs.values() if s.agg != "count"}
+    kinds = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values.values())]).schema if values else []
+    return [v for v, f in zip(values.values(), kinds) if isinstance(f.dataType, T.DecimalType)]
+
+
+def fits_long(parts: HotSplit, scale: int) -> bool:
+    """True when no cold key's sum can leave 64 bits, counted in units of 10^-scale."""
+    if parts.limit is None or parts.peak is None or scale > 18:
+        return False
+    return parts.peak * parts.limit * 10**scale < 2**62 and parts.peak * 10**scale < 10**17
+
+
 def rolling_parts(
     parts: HotSplit, keys: Sequence[str], order: str, specs: dict[str, Trailing]
 ) -> DataFrame:
-    out = rolling_plain(parts.cold, keys, order, specs)
+    out = rolling_plain(parts.cold, keys, order, specs, parts)
     if parts.hot is not None:
         sliced = rolling_sliced(parts.hot, keys, order, specs)
         out = out.unionByName(sliced.select(*out.columns))
     return out
 
 
-def rolling_plain(df, keys, order, specs) -> DataFrame:
+def rolling_plain(df, keys, order, specs, parts: HotSplit | None = None) -> DataFrame:
     """Difference of two running sums: everything up to now minus everything before the frame.
 
     Both have an unbounded start, which Spark extends row by row, so a partition
     costs its number of rows; a sliding frame would be summed anew for each row.
+    DECIMAL values are summed as 64-bit units where ``parts`` proves that they fit.
     """
     inputs: dict[str, tuple[str, Column]] = {}  # equal inputs are summed once
     wanted: dict[str, dict[str, tuple[str, int]]] = {}
@@ -134,6 +150,16 @@ def rolling_plain(df, keys, order, specs) -> DataFrame:
 
     rows = df.select("*", time_axis(df, order).alias("__at"), *[
         F.coalesce(c, F.lit(0)).alias(a) for a, c in inputs.values()])
+    scales = {
+        a: rows.schema[a].dataType.scale for a, _ in inputs.values()
+        if isinstance(rows.schema[a].dataType, T.DecimalType) and parts is not None
+        and fits_long(parts, rows.schema[a].dataType.scale)
+    }
+    kinds = {a: _sum_type(rows.schema[a].dataType) for a, _ in inputs.values()}
+    if scales:
+        # At most 18 digits, so neither the cast nor the product loses any.
+        rows = rows.withColumns({
+            a: (F.col(a).cast(T.DecimalType(18, s)) * F.lit(Decimal(10**s))).cast("bigint") for a, s in scales.items()})
     # SQL text keeps the many small expressions to one call each.
     over = f"OVER (PARTITION BY {', '.join(f'`{k}`' for k in keys)} ORDER BY __at RANGE BETWEEN UNBOUNDED PRECEDING AND"
     pairs = sorted({pair for parts in wanted.values() for pair in parts.values()})
@@ -142,10 +168,12 @@ def rolling_plain(df, keys, order, specs) -> DataFrame:
         *[f"sum({a}) {over} CURRENT ROW) AS {a}_now" for a, _ in inputs.values()],
         *[f"coalesce(sum({a}) {over} {h + 1} PRECEDING), 0) AS {a}_{h}" for a, h in pairs])
     # Rows without a time are one another's peers and have nothing before them.
-    trailing = {
-        (a, h): F.expr(f"{a}_now - CASE WHEN __at IS NULL THEN 0 ELSE {a}_{h} END").cast(rows.schema[f"{a}_now"].dataType)
-        for a, h in pairs
-    }
+    trailing = {}
+    for a, h in pairs:
+        total = F.expr(f"{a}_now - CASE WHEN __at IS NULL THEN 0 ELSE {a}_{h} END")
+        if a in scales:
+            total = total.cast(T.DecimalType(19, 0)) * F.lit(Decimal(1).scaleb(-scales[a]))
+        trailing[a, h] = total.cast(kinds[a])
     results = [
         specs[name].result({part: trailing[pair] for part, pair in parts.items()}).alias(name)
         for name, parts in wanted.items()

@@ -32,11 +32,12 @@ def with_distance(txn: DataFrame, cust: DataFrame, how: str = "left") -> DataFra
 
 
 def _per_card(txn, cust, hot_rows, build) -> DataFrame:
-    """Run ``build`` on cold rows, and on hot rows with their few home rows."""
-    parts = split_hot(txn, ["cc_num"], time_axis(txn, "ts"), hot_rows)
-    out = build(txn=parts.cold, cust=cust, hot=False)
+    """Run ``build`` on cold rows, and on hot rows (``parts`` None) with their few home rows."""
+    values = [F.col("amt")] if isinstance(txn.schema["amt"].dataType, T.DecimalType) else []
+    parts = split_hot(txn, ["cc_num"], time_axis(txn, "ts"), hot_rows, values)
+    out = build(txn=parts.cold, cust=cust, parts=parts)
     if parts.hot is not None:
-        hot = build(txn=parts.hot, cust=_near_home(cust, parts), hot=True)
+        hot = build(txn=parts.hot, cust=_near_home(cust, parts), parts=None)
         out = out.unionByName(hot.select(*out.columns))
     return out
 
@@ -59,9 +60,11 @@ def alert_aggregates(
         "disp_sum_3day": Trailing(days(3), "sum", "amt", far),
     }
 
-    def build(txn, cust, hot):
+    def build(txn, cust, parts):
         rows = with_distance(txn, cust)
-        return (rolling_sliced if hot else rolling_plain)(rows, ["cc_num"], "ts", specs)
+        if parts is None:
+            return rolling_sliced(rows, ["cc_num"], "ts", specs)
+        return rolling_plain(rows, ["cc_num"], "ts", specs, parts)
 
     return _per_card(txn.filter(F.col("ts").isNotNull()), cust, hot_rows, build)
 
@@ -161,11 +164,11 @@ def card_signals(
         "__far": Trailing(days(3), where=far),
     }
 
-    def build(txn, cust, hot):
+    def build(txn, cust, parts):
         rows = with_distance(txn, cust)
-        if not hot:
+        if parts is not None:
             rows = lag_plain(rows, ["cc_num"], "ts", prev, tie)
-            return rolling_plain(rows, ["cc_num"], "ts", specs)
+            return rolling_plain(rows, ["cc_num"], "ts", specs, parts)
         width = rows.select(tie, SLICE_COL)
         lagged = lag_sliced(rows, ["cc_num"], "ts", prev, tie).join(width, tie)
         return rolling_sliced(lagged, ["cc_num"], "ts", specs)
@@ -278,12 +281,14 @@ def enrich_1day(txn: DataFrame, cust: DataFrame, far: float = 0.5, hot_rows=HOT_
         "count_1day": Trailing(days(1), where=F.col("distance") > F.lit(far)),
     }
 
-    def build(txn, cust, hot):
+    def build(txn, cust, parts):
         home = cust.select("cc_num", "lat", "long")
         rows = txn.join(home, "cc_num", "left").withColumn(
             "distance", euclid(F.col("shipping_lat"), F.col("shipping_long"), F.col("lat"), F.col("long"))
         ).drop("lat", "long")
-        return (rolling_sliced if hot else rolling_plain)(rows, ["cc_num"], "ts", specs)
+        if parts is None:
+            return rolling_sliced(rows, ["cc_num"], "ts", specs)
+        return rolling_plain(rows, ["cc_num"], "ts", specs, parts)
 
     return _per_card(txn, cust, hot_rows, build)
 

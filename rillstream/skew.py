@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -27,12 +28,14 @@ BROADCAST_ROWS = 500_000
 @dataclass(frozen=True)
 class HotSplit:
     cold: DataFrame
-    hot: DataFrame | None  # hot rows, with SLICE_COL = slice width in microseconds
+    hot: DataFrame | None  # hot rows, with the slice width of their key in SLICE_COL
     keys: DataFrame | None  # one row per hot key
     n_keys: int
+    limit: int | None = None  # no cold key has more rows; None when unchecked
+    peak: Decimal | None = None  # largest absolute value of the checked columns
 
 
-SLICE_COL = "__slice_us"
+SLICE_COL = "__slice_us"  # microseconds, or units of a numeric axis
 
 
 def bounded_broadcast(df: DataFrame, n_rows: int) -> DataFrame:
@@ -40,11 +43,15 @@ def bounded_broadcast(df: DataFrame, n_rows: int) -> DataFrame:
     return F.broadcast(df) if n_rows <= BROADCAST_ROWS else df
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], at: Column, limit: int) -> DataFrame:
+def key_stats(df: DataFrame, keys: Sequence[str], at: Column, values: Sequence[Column]) -> DataFrame:
+    """Rows, time span and largest absolute value per key."""
+    peaks = [F.max(F.abs(v)).alias(f"__peak{i}") for i, v in enumerate(values)]
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n"), F.min(at).alias("__lo"), F.max(at).alias("__hi"), *peaks)
+
+
+def hot_keys(stats: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
     """Keys with more than ``limit`` rows and the slice width fitting their density."""
-    stats = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(at).alias("__lo"), F.max(at).alias("__hi")
-    )
     span = F.col("__hi") - F.col("__lo") + F.lit(1)
     width = F.floor(span * F.lit(SLICE_ROWS) / F.col("__n"))
     return stats.filter(F.col("__n") > F.lit(limit)).select(
@@ -53,20 +60,36 @@ def hot_keys(df: DataFrame, keys: Sequence[str], at: Column, limit: int) -> Data
 
 
 def split_hot(
-    df: DataFrame, keys: Sequence[str], at: Column, limit: int | None = HOT_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    at: Column,
+    limit: int | None = HOT_ROWS,
+    values: Sequence[Column] = (),
 ) -> HotSplit:
-    """Route rows by how heavy their key is. ``limit=None`` skips the check."""
+    """Route rows by how heavy their key is. ``limit=None`` skips the check.
+
+    One job over the key, time and value columns yields a single row: the number
+    of hot keys and the largest absolute value.
+    """
     keys = list(keys)
     if limit is None:
         return HotSplit(df, None, None, 0)
-    hot = hot_keys(df, keys, at, limit)
-    n = hot.count()
-    if n == 0:
-        return HotSplit(df, None, None, 0)
-    small = bounded_broadcast(hot, n)
+    stats = key_stats(df, keys, at, values)
+    row = stats.agg(
+        F.count_if(F.col("__n") > limit).alias("n"),
+        *[F.max(f"__peak{i}").alias(f"p{i}") for i in range(len(values))],
+    ).first()
+    known = [v for v in row[1:] if v is not None]
+    peak = max((Decimal(v) for v in known), default=Decimal(0)) if values else None
+    if row.n == 0:
+        return HotSplit(df, None, None, 0, limit, peak)
+    hot = hot_keys(stats, keys, limit)
+    small = bounded_broadcast(hot, row.n)
     return HotSplit(
         df.join(small.select(*keys), keys, "left_anti"),
         df.join(small, keys, "inner"),
         hot.select(*keys),
-        n,
+        row.n,
+        limit,
+        peak,
     )

@@ -11,7 +11,7 @@ from rillstream.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", cpus=8, shuffle=4)
+    session = local_session("tests", cpus=8, shuffle=2)
     yield session
     session.stop()
 

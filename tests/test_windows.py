@@ -82,7 +82,7 @@ def test_hot_key_plan_equals_plain_plan(spark):
     assert collected(win.rolling(df, ["cc_num"], "ts", SPECS, 250)) == expected(rows)
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.integers(0, 10_000))
 def test_rolling_random(spark, seed):
     rows = random_rows(seed, 60)
