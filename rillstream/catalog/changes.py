@@ -109,11 +109,11 @@ def avro_decode_options(spark, d):
 
 @q("csv_multirecord_decode", o("interactions", "SELECT interaction_id, user_id, video_id, interaction_type, watch_time FROM interactions"))
 def csv_multirecord_decode(spark, d):
-    """Blocks of newline-separated records, one block per user and day."""
+    """Blocks of up to 500 newline-separated records."""
     cols = ["interaction_id", "user_id", "video_id", "interaction_type", "watch_time"]
     lines = fx.interactions(spark, d).select(
-        "user_id", F.to_date("interaction_date").alias("d"), F.concat_ws(",", *cols).alias("line"))
-    blocks = lines.groupBy("user_id", "d").agg(F.array_join(F.collect_list("line"), "\n").alias("value"))
+        F.floor(F.col("interaction_id") / 500).alias("block"), F.concat_ws(",", *cols).alias("line"))
+    blocks = lines.groupBy("block").agg(F.array_join(F.collect_list("line"), "\n").alias("value"))
     schema = T.StructType([T.StructField(c, T.StringType() if c == "interaction_type" else T.LongType()) for c in cols])
     return messages.decode_csv_block(blocks.select("value"), schema)
 

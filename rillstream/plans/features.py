@@ -83,8 +83,8 @@ def windowed(
 def encode_category(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Integer code of each category in alphabetical order, starting at 0.
 
-    The distinct categories are ranked in a small window over a counted list; the
-    code is joined back (broadcast by size).
+    Only the distinct categories are ranked; the code is joined back, broadcast
+    when the list is under Spark's size threshold.
     """
     codes = df.select(col).distinct().withColumn(
         "__code", (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int"))
