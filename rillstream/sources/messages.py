@@ -88,8 +88,10 @@ def decode_debezium(df: DataFrame, schema: T.StructType, flavor: str = "postgres
         T.StructField("ts_ms", T.LongType()), T.StructField("source", source)])
     wrapped = T.StructType([T.StructField("payload", envelope), *envelope.fields])
     parsed = F.from_json(_text(df), wrapped)
-    rows = df.withColumn("__m", parsed)
-    pick = lambda name: F.coalesce(F.col(f"__m.payload.{name}"), F.col(f"__m.{name}"))
+    # A generator keeps the filter below from being pushed into a second parse.
+    kept = [c for c in ("offset",) if c in df.columns]
+    rows = df.select(*kept, F.inline(F.array(parsed)))
+    pick = lambda name: F.coalesce(F.col(f"payload.{name}"), F.col(name))
     seq = [pick("source.lsn"), pick("source.pos"), pick("ts_ms")]
     if "offset" in df.columns:
         seq.insert(0, F.col("offset").cast("bigint"))
