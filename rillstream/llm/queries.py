@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog.base import Catalog
-from . import quality, topk, warc
+from . import decontam, lm, neardup, quality, topk, warc
 from .folds import fold, held_out
 
 CATALOG = Catalog()
@@ -45,3 +45,20 @@ def op10_quality(spark, sf_dir):
     model = quality.fit(quality.with_statistics(named), labels)
     return quality.scored(docs, model).withColumn("held_out", held_out("doc_id", 5)).select(
         "doc_id", "held_out", "score", "predicted")
+
+
+@CATALOG.query("op7_decontaminate")
+def op7_decontaminate(spark, sf_dir):
+    return decontam.marked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@CATALOG.query("op8_neardup")
+def op8_neardup(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@CATALOG.query("op9_lm")
+def op9_lm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return lm.scores(docs, docs.where(fold("doc_id", 10) != 0)).select(
+        "doc_id", held_out("doc_id", 10).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
