@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog.base import Catalog
-from . import decontam, lm, neardup, quality, topk, warc
+from . import decontam, lm, neardup, quality, suffix, topk, warc
 from .folds import fold, held_out
 
 CATALOG = Catalog()
@@ -62,3 +62,8 @@ def op9_lm(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return lm.scores(docs, docs.where(fold("doc_id", 10) != 0)).select(
         "doc_id", held_out("doc_id", 10).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@CATALOG.query("op2_suffix_dedup")
+def op2_suffix_dedup(spark, sf_dir):
+    return suffix.deduplicate(table(spark, sf_dir, "documents"))
