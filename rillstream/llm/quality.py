@@ -158,3 +158,18 @@ def scored(docs: DataFrame, model: Discriminant, threshold: float = THRESHOLD, k
                 [*keep, "score", "predicted"])
 
     return map_arrow(docs.select(*dict.fromkeys([*keep, "text"])), run, schema)
+
+
+def scored_statistics(x: DataFrame, model: Discriminant, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, score, predicted) from statistics that were computed before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            col = b.column("x")
+            values = col.flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, len(STATS))
+            s = model.score(values)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array(s), pa.array((s >= threshold).astype(np.int32))],
+                ["doc_id", "score", "predicted"])
+
+    return x.mapInArrow(run, "doc_id long, score double, predicted int")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..catalog.base import Catalog
 from . import decontam, lm, neardup, quality, suffix, topk, warc
 from .folds import fold, held_out
+from .tables import kept
 
 CATALOG = Catalog()
 
@@ -41,9 +42,8 @@ def op5_topk(spark, sf_dir):
 def op10_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
-    named = docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
-    model = quality.fit(quality.with_statistics(named), labels)
-    return quality.scored(docs, model).withColumn("held_out", held_out("doc_id", 5)).select(
+    x = kept(quality.with_statistics(docs), "quality")  # texts are read once and never shuffled
+    return quality.scored_statistics(x, quality.fit(x, labels)).withColumn("held_out", held_out("doc_id", 5)).select(
         "doc_id", "held_out", "score", "predicted")
 
 
