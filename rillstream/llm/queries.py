@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog.base import Catalog
-from . import decontam, lm, neardup, quality, suffix, topk, warc
+from . import decontam, langid, lm, neardup, pii, quality, suffix, topk, warc
 from .folds import fold, held_out
 from .tables import kept
 
@@ -67,3 +67,17 @@ def op9_lm(spark, sf_dir):
 @CATALOG.query("op2_suffix_dedup")
 def op2_suffix_dedup(spark, sf_dir):
     return suffix.deduplicate(table(spark, sf_dir, "documents"))
+
+
+@CATALOG.query("op4_pii")
+def op4_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pii.found(docs, pii.fit(docs))
+
+
+@CATALOG.query("op6_langid")
+def op6_langid(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(fold("doc_id", 5) != 0))
+    return langid.identified(docs, model).select(
+        "doc_id", held_out("doc_id", 5).alias("held_out"), "lang_pred", "score")
