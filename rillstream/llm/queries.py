@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog.base import Catalog
-from . import decontam, langid, lm, neardup, pii, quality, suffix, topk, warc
+from . import decontam, langid, lm, neardup, pieces, pii, quality, suffix, topk, warc
 from .folds import fold, held_out
 from .tables import kept
 
@@ -81,3 +81,8 @@ def op6_langid(spark, sf_dir):
     model = langid.fit(docs.where(fold("doc_id", 5) != 0))
     return langid.identified(docs, model).select(
         "doc_id", held_out("doc_id", 5).alias("held_out"), "lang_pred", "score")
+
+
+@CATALOG.query("op1_sentencepiece")
+def op1_sentencepiece(spark, sf_dir):
+    return pieces.digests(table(spark, sf_dir, "documents"), pieces.Pieces.load(pieces.default_model()))
