@@ -1,10 +1,10 @@
 """Benchmark decontamination by spaced-seed hashing, in column functions only.
 
 A seed is a hash of the tokens that a fixed mask selects; the other positions may differ. Seeds of every document
-position meet the seeds of the benchmark in a hash join, and around each hit a window of the aligned tokens is
-compared. The two masks together hit every window of 13 tokens in which any 2 differ (a brute-force test holds them to
+position meet the seeds of the benchmark in a hash join; documents with hits are read again and windows of the tokens
+aligned by a hit are compared. The two masks together hit every window of 13 tokens in which any 2 differ (a brute-force test holds them to
 it), so within the definition nothing is missed. The benchmark is broadcast in blocks of at most ``BLOCK_TOKENS``
-tokens, whatever its size; documents are neither shuffled nor paired with each other.
+tokens, whatever its size; documents are never paired with each other.
 """
 
 from __future__ import annotations
@@ -23,34 +23,29 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def _seed_at(words: Column, pos: Column, mask: str, k: int) -> Column:
-    return F.xxhash64(F.lit(k), *(F.get(words, pos + i) for i, bit in enumerate(mask) if bit == "1"))
+def seeds(rows: DataFrame, keep: str) -> DataFrame:
+    """(keep, seed, pos) of rows (keep, words): one row per position and mask that fits there."""
+    n = F.size("words")
 
+    def of(mask: str, k: int) -> Column:
+        at = lambda i: F.xxhash64(F.lit(k), *(F.get("words", i + o) for o, bit in enumerate(mask) if bit == "1"))
+        return F.when(n >= len(mask), F.transform(F.sequence(F.lit(0), n - len(mask)), at)).otherwise(
+            F.array().cast("array<bigint>"))
 
-def seeds(rows: DataFrame, keep: list[str]) -> DataFrame:
-    """keep, words, pos, seed: one row per position and mask; positions where a mask would pass the end are left out."""
-    shortest = min(map(len, MASKS))
-    n = F.size("words")
-    at = rows.where(n >= shortest).select(*keep, "words", F.explode(F.sequence(F.lit(0), n - shortest)).alias("pos"))
-    pos = F.col("pos")
-    return at.select(*keep, "words", "pos", F.explode(F.array(*(
-        F.when(pos + len(m) <= n, _seed_at(F.col("words"), pos, m, k)) for k, m in enumerate(MASKS)))).alias("seed"))
+    # only hashes leave this projection: exploding beside the words would copy them for every position
+    lists = rows.select(keep, *(of(m, k).alias(f"s{k}") for k, m in enumerate(MASKS)))
+    places = F.concat(*(F.transform(
+        F.col(f"s{k}"), lambda seed, i: F.struct(seed.alias("seed"), i.alias("pos"))) for k in range(len(MASKS))))
+    return lists.select(keep, F.explode(places).alias("p")).select(keep, "p.seed", "p.pos")
 
 
-def _alike(words: Column, pos: Column, item: Column, item_pos: Column) -> Column:
-    """Whether a window of the item that holds the hit agrees with the document in all but DIFFERENT places."""
+def _alike(words: Column, item: Column, shift: Column) -> Column:
+    """Whether a window of the item agrees with the document, shifted by ``shift``, in all but DIFFERENT places."""
     size = F.size(item)
     win = F.least(F.lit(WINDOW), size)
-    first = F.greatest(F.lit(0), item_pos - (WINDOW - 1))
-    last = F.least(size - win, item_pos)
-    shift = pos - item_pos
-
-    def agrees(start: Column) -> Column:
-        same = F.transform(F.sequence(start, start + win - 1),
-                           lambda i: F.coalesce((F.get(words, shift + i) == F.get(item, i)).cast("int"), F.lit(0)))
-        return F.aggregate(same, F.lit(0), lambda a, b: a + b) >= win - DIFFERENT
-
-    return F.exists(F.sequence(first, last), agrees)
+    same = F.transform(item, lambda token, i: F.coalesce((F.get(words, shift + i) == token).cast("int"), F.lit(0)))
+    return F.exists(F.sequence(F.lit(0), size - win), lambda start: F.aggregate(
+        F.slice(same, start + 1, win), F.lit(0), lambda a, b: a + b) >= win - DIFFERENT)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
@@ -65,18 +60,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_tokens: int = BLOC
         F.size("words") >= MIN_TOKENS)
     total = items.agg(F.sum(F.size("words"))).first()[0] or 0
     blocks = max(1, -(-int(total) // block_tokens))
-    words = docs.where(F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("doc_id"), tokens(F.col("text").cast("string")).alias("words"))
-    hits = seeds(words, ["doc_id"]).where(F.col("seed").isNotNull())
-    found = None
+    named = docs.where(F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    all_seeds = seeds(named.select("doc_id", tokens(F.col("text")).alias("words")), "doc_id")
+    hits = None
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
-        known = seeds(block, ["item_id"]).where(F.col("seed").isNotNull()).select(
-            "seed", "item_id", F.col("words").alias("item"), F.col("pos").alias("item_pos"))
-        pairs = hits.join(F.broadcast(known), "seed").where(
-            _alike(F.col("words"), F.col("pos"), F.col("item"), F.col("item_pos"))).select("doc_id", "item_id")
-        found = pairs if found is None else found.unionByName(pairs)
-    return found.distinct()
+        known = seeds(block, "item_id").withColumnRenamed("pos", "item_pos")
+        found = all_seeds.join(F.broadcast(known), "seed").select(
+            "doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"))
+        hits = found if hits is None else hits.unionByName(found)
+    by_doc = hits.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "shift")).alias("hits"))
+    placed = named.join(by_doc, "doc_id").select("doc_id", tokens(F.col("text")).alias("words"), F.explode("hits").alias("h"))
+    return placed.select("doc_id", "words", "h.item_id", "h.shift").join(
+        items.withColumnRenamed("words", "item"), "item_id").where(
+        _alike(F.col("words"), F.col("item"), F.col("shift"))).select("doc_id", "item_id").distinct()
 
 
 def marked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
