@@ -255,10 +255,8 @@ per AS (SELECT cc_num, count(DISTINCT signal_type) AS n_signals, count(*) AS hit
 SELECT cc_num, n_signals, hits, round(total_amt, 2) AS total_amt,
   CASE WHEN n_signals >= 2 OR total_amt / hits >= 100 THEN 'SUSPICIOUS' ELSE 'BENIGN' END AS verdict,
   CASE WHEN n_signals >= 2 THEN 'HIGH' WHEN total_amt / hits >= 500 THEN 'MEDIUM' ELSE 'LOW' END AS confidence,
-  CASE WHEN n_signals >= 2 THEN 'signals corroborate each other'
-       WHEN total_amt / hits >= 500 THEN 'one signal, high average flagged amount'
-       WHEN total_amt / hits >= 100 THEN 'one signal, moderate average flagged amount'
-       ELSE 'one signal, low average flagged amount' END AS reason
+  CASE WHEN n_signals >= 2 THEN 'MULTI_SIGNAL' WHEN total_amt / hits >= 500 THEN 'MEAN_AMT_500'
+       WHEN total_amt / hits >= 100 THEN 'MEAN_AMT_100' ELSE 'MEAN_AMT_LOW' END AS reason
 FROM per"""))
 def classify_cards(spark, sf_dir):
     rows = cards.alert_aggregates(fx.txn(spark, sf_dir), fx.cust(spark, sf_dir), ALERTS)

@@ -211,11 +211,11 @@ def truncate_sink(spark, d):
    f"FROM ({_LAST_ORDER}) WHERE op <> 'd'"))
 def upsert_sink(spark, d):
     store = KeyedStore(spark, scratch(spark, "upsert"), ORDER, ["o_orderkey"], buckets=8)
-    sink = tables.upsert_sink(store)
-    changes = fx.order_changes(spark, d)
-    for epoch, op in enumerate(("c", "u", "d")):
-        batch = changes.filter(F.col("op") == op).withColumn("op", F.lit({"c": "insert", "u": "update", "d": "delete"}[op]))
-        sink(batch.drop("seq"), epoch)
+    sink = tables.upsert_sink(store, "seq")
+    op = F.when(F.col("op") == "c", "insert").when(F.col("op") == "u", "update").otherwise("delete")
+    changes = fx.order_changes(spark, d).withColumn("op", op)
+    for epoch in (0, 1):  # a batch holds all changes of its orders, in any order
+        sink(changes.filter(F.col("o_orderkey") % 2 == epoch), epoch)
     return _dbl(store.current(), "price")
 
 

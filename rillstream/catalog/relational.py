@@ -191,11 +191,14 @@ def count_distinct_exact(spark, d):
     return rel.count_distinct(_cells(spark, d), ["cc_num", "d"], ["a", "b"])
 
 
-@q("count_distinct_sketch")
+@q("count_distinct_sketch", o("txn", "SELECT cc_num, count(*) AS n, true AS within FROM (SELECT DISTINCT cc_num, "
+   "floor(shipping_lat * 10) AS a, floor(shipping_long * 10) AS b FROM txn) GROUP BY cc_num"))
 def count_distinct_sketch(spark, d):
-    """Per-day sketches merged to one estimate per card; error bound tested in pytest."""
+    """Per card the exact count, and whether the estimate of merged per-day sketches is within a tenth of it."""
     daily = rel.sketch(_cells(spark, d), ["cc_num", "d"], ["a", "b"])
-    return rel.estimate(daily, ["cc_num"])
+    exact = rel.count_distinct(_cells(spark, d), ["cc_num"], ["a", "b"])
+    return rel.estimate(daily, ["cc_num"]).join(exact, "cc_num").select(
+        "cc_num", "n", (F.abs(F.col("estimate") - F.col("n")) <= 1 + F.col("n") / 10).alias("within"))
 
 
 @q("partial_state_merge", o("txn", "SELECT cc_num, CAST(floor(epoch(ts)) AS BIGINT) // 604800 AS bucket, count(*) AS n FROM txn GROUP BY ALL"))

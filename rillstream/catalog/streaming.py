@@ -19,7 +19,7 @@ from ..streaming.store import EpochLog, History, KeyedStore
 from .base import Catalog
 from .cards import ALERTS, details_sql, plain
 from .changes import TXN
-from .learning import MODEL_FEATURES, labelled
+from .learning import FEATURES, MODEL_FEATURES, labelled
 
 CATALOG = Catalog()
 q = CATALOG.query
@@ -378,15 +378,19 @@ def run_to_completion(spark, d):
     return spark.read.schema("event_id bigint").parquet(out).agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("id_sum"))
 
 
-@q("stream_scoring")
+@q("stream_scoring", o("txn_ml demo", FEATURES + """
+SELECT event_id, CAST(amt > 2 * avg_spend_pm AND hour_of_day < 12 AS INTEGER) AS is_fraud, true AS same FROM features"""))
 def stream_scoring(spark, d):
-    """Train on the feature table, then score it chunk by chunk from a stream."""
+    """Train on the feature table, then score it chunk by chunk from a stream; same says whether a row's prediction is
+    that of the whole table at once."""
     rows = ft.feature_table(labelled(spark, d), scratch(spark, "scored-features"))
-    model = ml.train(rows, MODEL_FEATURES, "is_fraud", depth=4, rounds=5)
+    model = ml.train(rows, MODEL_FEATURES, "is_fraud")
     path, out = scratch(spark, "chunks"), scratch(spark, "scores")
     rows.write.parquet(path)
     sink = tables.truncate_sink(out)
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
     score = ml.scorer(model, lambda scored, epoch: sink(scored.select("event_id", "is_fraud", "prediction"), epoch))
     st.run_batches(stream, score, scratch(spark, "cp"))
-    return spark.read.parquet(out).drop("epoch")
+    at_once = ml.predict(model, rows).select("event_id", F.col("prediction").alias("whole"))
+    return spark.read.parquet(out).join(at_once, "event_id").select(
+        "event_id", "is_fraud", (F.col("prediction") == F.col("whole")).alias("same"))

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 INSERT, DELETE, UPDATE = "insert", "delete", "update"
+COPIES = 10_000  # copies of a row made from one array
 
 
 def upsert_state(changes: DataFrame, key: Sequence[str], seq: str) -> DataFrame:
@@ -29,8 +30,11 @@ def cdc_apply(changes: DataFrame, key, seq: str, op: str = "op", deletes=("d", D
 
 def zset_apply(changes: DataFrame, cols: Sequence[str], weight: str = "w") -> DataFrame:
     """Multiset after weighted inserts (+) and deletes (-); rows keep their multiplicity."""
-    net = changes.groupBy(*cols).agg(F.sum(weight).cast("int").alias("__n")).filter("__n > 0")
-    return net.select(*cols, F.explode(F.array_repeat(F.lit(1), F.col("__n"))).alias("__one")).drop("__one")
+    net = changes.groupBy(*cols).agg(F.sum(weight).cast("bigint").alias("__n")).filter("__n > 0")
+    # in bounded arrays, however large the multiplicity
+    chunk = net.select(*cols, "__n", F.explode(F.sequence(F.lit(0), F.col("__n") - 1, F.lit(COPIES))).alias("__at"))
+    copies = F.array_repeat(F.lit(1), F.least(F.lit(COPIES), F.col("__n") - F.col("__at")).cast("int"))
+    return chunk.select(*cols, F.explode(copies).alias("__one")).drop("__one")
 
 
 def _differs(a: str, b: str, cols: Sequence[str]) -> Column:
@@ -52,7 +56,8 @@ def view_diff(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def apply_changes(old: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
     """``old`` after ``changes`` as produced by ``view_diff``."""
-    kept = old.join(changes.select(*key), list(key), "left_anti")
+    named = changes.select(*[F.col(k).alias(f"__c_{k}") for k in key])
+    kept = old.join(named, reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__c_{k}")) for k in key]), "left_anti")
     return kept.unionByName(changes.filter(F.col("op") != DELETE).drop("op"))
 
 
@@ -60,7 +65,7 @@ def replica_compare(a: DataFrame, b: DataFrame, key: Sequence[str], cols: Sequen
     """Keys missing on one side or differing in a column; empty means equal."""
     x = a.select(*key, *cols).withColumn("__in", F.lit(True)).alias("a")
     y = b.select(*key, *cols).withColumn("__in", F.lit(True)).alias("b")
-    on = reduce(lambda p, q: p & q, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in key])
+    on = reduce(lambda p, q: p & q, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in key])
     problem = (
         F.when(F.col("b.__in").isNull(), "missing_right")
         .when(F.col("a.__in").isNull(), "missing_left")

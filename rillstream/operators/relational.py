@@ -98,8 +98,10 @@ def asof_latest(a: DataFrame, b: DataFrame, key: str, ts: str, features: Sequenc
     """Latest feature values at or before each row, sliced so no key is one task.
 
     Rows of both sides share (key, calendar day) slices. The last feature row of
-    the earlier days is carried in from a pre-aggregated (key, day) table.
+    the earlier days is carried in from a pre-aggregated (key, day) table. A row with
+    NULL key or time stays, with NULL features.
     """
+    b = b.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
     payload = F.struct(*features)
     day = F.to_date(F.col(ts))
     left = a.select(
@@ -113,11 +115,11 @@ def asof_latest(a: DataFrame, b: DataFrame, key: str, ts: str, features: Sequenc
         F.max_by(F.col("__feat"), F.when(F.col("__side") == 0, F.struct(ts, "__feat"))).alias("__last"))
     earlier = Window.partitionBy(key).orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
     carry = per_day.select(
-        key, "__day", F.last("__last", ignorenulls=True).over(earlier).alias("__carry"))
+        F.col(key).alias("__ckey"), F.col("__day").alias("__cday"), F.last("__last", ignorenulls=True).over(earlier).alias("__carry"))
     w = Window.partitionBy(key, "__day").orderBy(ts, "__side", "__feat").rowsBetween(
         Window.unboundedPreceding, 0)
     seen = (
-        both.join(carry, [key, "__day"])
+        both.join(carry, F.col(key).eqNullSafe(F.col("__ckey")) & F.col("__day").eqNullSafe(F.col("__cday")))
         .withColumn("__now", F.coalesce(F.last("__feat", ignorenulls=True).over(w), F.col("__carry")))
         .filter(F.col("__side") == 1)
     )

@@ -310,10 +310,10 @@ def lag_plain(df, keys, order, cols, tie) -> DataFrame:
     return df.withColumns({new: F.lag(old).over(w) for new, old in cols.items()})
 
 
-def lag_sliced(df: DataFrame, keys, order, cols: dict[str, str], tie: str) -> DataFrame:
+def lag_sliced(df: DataFrame, keys, order, cols: dict[str, str], tie: str, keep_slice: bool = False) -> DataFrame:
     """Previous-row lookup for hot keys: within a slice, else the last row before it."""
     keys = list(keys)
-    out_cols = [c for c in df.columns if c != SLICE_COL]
+    out_cols = [c for c in df.columns if keep_slice or c != SLICE_COL]
     rows = df.withColumn("__at", time_axis(df, order)).withColumn(
         "__slice", F.floor(F.col("__at") / F.col(SLICE_COL))
     )

@@ -148,21 +148,35 @@ def score(flagged: DataFrame, labels: DataFrame, txn_counts: DataFrame) -> DataF
         "suspicious_txns", "fp_txns")
 
 
-def score_all(detectors: dict[str, DataFrame], labels: DataFrame, txn_counts: DataFrame) -> DataFrame:
-    """``score`` for several detectors, one row each."""
-    rows = [score(f, labels, txn_counts).select(F.lit(name).alias("detector"), "*") for name, f in detectors.items()]
-    return reduce(lambda a, b: a.unionByName(b), rows)
+def score_all(cards: DataFrame, names: Sequence[str], labels: DataFrame) -> DataFrame:
+    """``score`` of several detectors at once, one row each.
 
+    ``cards`` has a row per card: cc_num, its number of transactions n and a flag per
+    detector; ``labels`` lists the fraud cards.
+    """
+    per_name = lambda f, l: F.inline(F.array(*[
+        F.struct(F.lit(name).alias("detector"), f(name).alias("f"), l.alias("l")) for name in names]))
+    tagged = cards.select("cc_num", "n", per_name(F.col, F.lit(False))).unionByName(
+        labels.select("cc_num").distinct().select(
+            "cc_num", F.lit(0).cast("bigint").alias("n"), per_name(lambda _: F.lit(False), F.lit(True))))
+    each = tagged.groupBy("detector", "cc_num").agg(F.max("f").alias("f"), F.max("l").alias("l"), F.sum("n").alias("n"))
+    f, l = F.col("f"), F.col("l")
+    total = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+    counts = each.groupBy("detector").agg(
+        F.count_if(f).alias("flagged"), F.count_if(f & l).alias("tp"), F.count_if(f & ~l).alias("fp"),
+        F.count_if(~f & l).alias("fn"), total(f).alias("suspicious_txns"), total(f & ~l).alias("fp_txns"))
+    return counts.select(
+        "detector", "flagged", "tp", "fp", "fn",
+        ratio(F.col("tp"), F.col("tp") + F.col("fp"), 1.0).alias("precision"),
+        ratio(F.col("tp"), F.col("tp") + F.col("fn"), 1.0).alias("recall"),
+        "suspicious_txns", "fp_txns")
 
-def signal_gap(detectors: dict[str, DataFrame], labels: DataFrame) -> DataFrame:
+
+def signal_gap(cards: DataFrame, names: Sequence[str], labels: DataFrame) -> DataFrame:
     """Cards on which the detectors disagree, with their label population."""
-    names = list(detectors)
-    tagged = reduce(lambda a, b: a.unionByName(b), [
-        df.select("cc_num", *[F.lit(n == name).alias(n) for n in names]) for name, df in detectors.items()])
-    cards = tagged.groupBy("cc_num").agg(*[F.max(n).alias(n) for n in names])
     agree = reduce(lambda a, b: a & b, [F.col(n) == F.col(names[0]) for n in names[1:]])
-    return cards.filter(~agree).join(labels.select("cc_num", "label"), "cc_num", "left").withColumn(
-        "label", F.coalesce("label", F.lit("normal")))
+    return cards.filter(~agree).select("cc_num", *names).join(
+        labels.select("cc_num", "label"), "cc_num", "left").withColumn("label", F.coalesce("label", F.lit("normal")))
 
 
 def workload_cost(scores: DataFrame, prices: DataFrame, tokens_in: int = 12_000, tokens_out: int = 2_000) -> DataFrame:
@@ -172,7 +186,7 @@ def workload_cost(scores: DataFrame, prices: DataFrame, tokens_in: int = 12_000,
     product is a report as well.
     """
     per_txn = (F.lit(tokens_in / 1e6) * F.col("price_in")) + (F.lit(tokens_out / 1e6) * F.col("price_out"))
-    return scores.join(F.broadcast(prices)).select(
+    return scores.crossJoin(prices).select(
         "detector", "provider", "model", per_txn.alias("usd_per_txn"), "suspicious_txns",
         (F.col("suspicious_txns") * per_txn).alias("usd_total"), (F.col("fp_txns") * per_txn).alias("usd_wasted"))
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -84,10 +85,12 @@ def split_hot(
     if row.n == 0:
         return HotSplit(df, None, None, 0, limit, peak)
     hot = hot_keys(stats, keys, limit)
-    small = bounded_broadcast(hot, row.n)
+    # Null-safe: rows with a NULL key form one window partition, which may be hot like any other.
+    named = bounded_broadcast(hot.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], SLICE_COL), row.n)
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys])
     return HotSplit(
-        df.join(small.select(*keys), keys, "left_anti"),
-        df.join(small, keys, "inner"),
+        df.join(named.drop(SLICE_COL), same, "left_anti"),
+        df.join(named, same, "inner").select(*df.columns, SLICE_COL),
         hot.select(*keys),
         row.n,
         limit,

@@ -73,7 +73,7 @@ def split_replay(
 ) -> DataFrame:
     """Add ``batch_id``: -1 for the preload, then 0, 1, ... in event order.
 
-    With ``n_steps`` rows beyond the last step are not replayed.
+    With ``n_steps`` the last step also has the rows that are left over.
     """
     if not batch_rows and not n_steps:
         raise ValueError("give batch_rows or n_steps")
@@ -86,9 +86,8 @@ def split_replay(
         size, steps = max(1, n_stream // n_steps), n_steps
     numbered = global_row_number(df, ts, tie, "__pos")
     after = F.col("__pos") - F.lit(preload_rows)
-    batch = F.when(after < 0, F.lit(-1)).otherwise(F.floor(after / F.lit(size)))
-    return numbered.withColumn("batch_id", batch.cast("bigint")).drop("__pos").filter(
-        F.col("batch_id") < F.lit(steps))
+    batch = F.when(after < 0, F.lit(-1)).otherwise(F.least(F.floor(after / F.lit(size)), F.lit(steps - 1)))
+    return numbered.withColumn("batch_id", batch.cast("bigint")).drop("__pos")
 
 
 def replay_schedule(split: DataFrame, ts: str) -> DataFrame:

@@ -22,8 +22,14 @@ def _text(df: DataFrame) -> Column:
 
 
 def decode_json(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """One JSON object per message; other columns (key, offset, ...) are dropped."""
-    return df.select(F.from_json(_text(df), schema).alias("__r")).select("__r.*")
+    """One JSON object per message; other columns (key, offset, ...) are dropped.
+
+    Malformed and empty messages give no row; ``dead_letter_split`` returns them.
+    """
+    full = T.StructType([*schema.fields, T.StructField("__bad", T.StringType())])
+    parsed = F.from_json(_text(df), full, {"columnNameOfCorruptRecord": "__bad"})
+    rows = df.select(F.inline(F.array(parsed)))
+    return rows.filter(F.col("__bad").isNull()).drop("__bad")
 
 
 # -- Debezium -----------------------------------------------------------------
@@ -75,14 +81,17 @@ def decode_debezium(df: DataFrame, schema: T.StructType, flavor: str = "postgres
     """Envelope to (op, seq, before, after), with or without the schema wrapper.
 
     ``seq`` orders changes of one key: the broker offset when present, else the
-    source position, else the event time. Unparseable or empty (tombstone)
+    source position, else the event time. A MySQL position starts anew in each log
+    file and is shared by the rows of one event, so there it is the number of the
+    file, the position and the row together. Unparseable or empty (tombstone)
     messages are not changes; split them off first with ``dead_letter_split``.
     """
     if flavor not in ("postgres", "mysql"):
         raise ValueError("flavor must be 'postgres' or 'mysql'")
     wire = T.StructType([T.StructField(f.name, _wire_type(f.dataType, flavor)) for f in schema])
     source = T.StructType([
-        T.StructField("lsn", T.LongType()), T.StructField("pos", T.LongType()), T.StructField("ts_ms", T.LongType())])
+        T.StructField("lsn", T.LongType()), T.StructField("file", T.StringType()), T.StructField("pos", T.LongType()),
+        T.StructField("row", T.LongType()), T.StructField("ts_ms", T.LongType())])
     envelope = T.StructType([
         T.StructField("before", wire), T.StructField("after", wire), T.StructField("op", T.StringType()),
         T.StructField("ts_ms", T.LongType()), T.StructField("source", source)])
@@ -93,6 +102,12 @@ def decode_debezium(df: DataFrame, schema: T.StructType, flavor: str = "postgres
     rows = df.select(*kept, F.inline(F.array(parsed)))
     pick = lambda name: F.coalesce(F.col(f"payload.{name}"), F.col(name))
     seq = [pick("source.lsn"), pick("source.pos"), pick("ts_ms")]
+    if flavor == "mysql" and "offset" not in df.columns:
+        number = F.regexp_extract(F.coalesce(pick("source.file"), F.lit("")), r"(\d+)$", 1)
+        place = F.concat(
+            F.when(number == "", F.lit("0")).otherwise(number), F.lpad(pick("source.pos").cast("string"), 19, "0"),
+            F.lpad(F.coalesce(pick("source.row"), F.lit(0)).cast("string"), 9, "0")).cast(T.DecimalType(38, 0))
+        seq = [place, pick("ts_ms").cast(T.DecimalType(38, 0))]
     if "offset" in df.columns:
         seq.insert(0, F.col("offset").cast("bigint"))
 

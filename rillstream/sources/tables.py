@@ -67,10 +67,14 @@ def truncate_sink(path: str) -> BatchFn:
     return write
 
 
-def upsert_sink(store: KeyedStore) -> BatchFn:
-    """Upsert (op, columns) changes by record key; deletes remove, new columns are added."""
+def upsert_sink(store: KeyedStore, seq: str | None = None) -> BatchFn:
+    """Upsert (op, columns) changes by record key; deletes remove, new columns are added.
+
+    A batch may change a key several times when ``seq`` names the column that orders its
+    changes; without it a key must occur once per batch.
+    """
     def write(batch: DataFrame, epoch: int) -> None:
-        store.write(batch, epoch)
+        store.write(batch if seq is None else upsert_state(batch, store.keys, seq).drop(seq), epoch)
     return write
 
 

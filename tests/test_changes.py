@@ -160,7 +160,7 @@ def test_replay_split_shapes(spark, monkeypatch):
     by_rows = files.split_replay(df, "ts", ["id"], 40, batch_rows=25).groupBy("batch_id").count().collect()
     assert {r.batch_id: r["count"] for r in by_rows} == {-1: 40, 0: 25, 1: 25, 2: 10}
     by_steps = files.split_replay(df, "ts", ["id"], 40, n_steps=7).groupBy("batch_id").count().collect()
-    assert {r.batch_id: r["count"] for r in by_steps} == {-1: 40, **{i: 8 for i in range(7)}}  # overflow is not replayed
+    assert {r.batch_id: r["count"] for r in by_steps} == {-1: 40, **{i: 8 for i in range(6)}, 6: 12}  # the last step takes what is left over
 
 
 def test_upsert_store_is_idempotent_and_evolves(spark, tmp_path):
@@ -197,3 +197,23 @@ def test_synth_plans(spark):
     assert min(r.ts for r in main) == at("2026-01-01") and max(r.ts for r in main) == at("2026-01-01 00:33:19")
     assert all(len(r.ip.split(".")) == 4 for r in main)
     assert [r.user_id for r in rows[2000:]] == [42] * 5
+
+
+def test_null_keys_and_ordered_changes(spark, tmp_path):
+    old = spark.createDataFrame([(None, "a"), (1, "b")], "id bigint, name string")
+    new = spark.createDataFrame([(None, "z"), (1, "b")], "id bigint, name string")
+    assert {tuple(r) for r in ch.apply_changes(old, ch.view_diff(old, new, ["id"]), ["id"]).collect()} == {(None, "z"), (1, "b")}
+    assert ch.replica_compare(new, new, ["id"], ["name"]).isEmpty()
+    many = spark.createDataFrame([("a", 25_001), ("b", 2)], "v string, w bigint")
+    assert {(r.v, r["count"]) for r in ch.zset_apply(many, ["v"]).groupBy("v").count().collect()} == {("a", 25_001), ("b", 2)}
+
+
+def test_positions_of_a_log_are_ordered_across_files_and_rows(spark):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.StringType())])
+    def message(v, file, pos, row):
+        return ('{"op":"u","after":{"id":1,"v":"%s"},"source":{"file":"log.%06d","pos":%d,"row":%d}}' % (v, file, pos, row),)
+    raw = spark.createDataFrame([message("last", 10, 4, 1), message("old", 9, 9000, 0), message("mid", 10, 4, 0)], "value string")
+    out = ch.upsert_state(messages.debezium_changes(messages.decode_debezium(raw, schema, "mysql")), ["id"], "seq")
+    assert [r.v for r in out.collect()] == ["last"]
+    bad = spark.createDataFrame([("{oops",), ("",), (None,), ('{"id":3,"v":"x"}',)], "value string")
+    assert [r.id for r in messages.decode_json(bad, schema).collect()] == [3]
