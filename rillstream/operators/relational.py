@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import epoch_bucket
+from ..session import cut
 
 
 # -- projection and filters ---------------------------------------------------
@@ -204,18 +205,45 @@ def min_snapshot(df: DataFrame, keys, ts: str, cols: Sequence[str]) -> DataFrame
     return df.groupBy(*keys).agg(F.max(ts).alias(ts), *[F.min(c).alias(c) for c in cols])
 
 
+def running_total(df: DataFrame, order: Sequence[str], value: Column, name: str) -> DataFrame:
+    """Add the running total of ``value`` over the whole table in the given order.
+
+    Rows are range-partitioned, each range adds up its own rows and starts from the totals
+    of the ranges before it, so no task sees more than one range.
+    """
+    placed = cut(df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()))
+    sums = placed.groupBy("__range").agg(F.sum(value).alias("__sum"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    starts = sums.select("__range", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__start"))
+    inside = Window.partitionBy("__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return placed.withColumn("__run", F.sum(value).over(inside)).join(starts, "__range").select(
+        *df.columns, (F.col("__start") + F.col("__run")).alias(name))
+
+
 def percentiles(df: DataFrame, col: str, ps: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
     """Interpolated percentiles through a value histogram.
 
-    Equal values are counted first, so the final exact percentile sees one row
-    per distinct value.
+    Equal values are counted first. Without keys the two values around each rank are then
+    found from running totals; with keys the exact percentile sees a key's distinct values.
     """
     hist = df.filter(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__n"))
     names = [f"p{p:g}".replace(".", "_") for p in ps]
-    return hist.groupBy(*keys).agg(
-        *[F.percentile(col, p / 100.0, F.col("__n")).alias(n) for p, n in zip(ps, names)],
-        F.max(col).alias("max"),
-    )
+    if keys:
+        return hist.groupBy(*keys).agg(
+            *[F.percentile(col, p / 100.0, F.col("__n")).alias(n) for p, n in zip(ps, names)],
+            F.max(col).alias("max"),
+        )
+    run = running_total(hist, [col], F.col("__n"), "__upto")
+    size = df.agg(F.count(col)).first()[0]
+    aggs = []
+    for p, n in zip(ps, names):
+        rank = p / 100.0 * max(size - 1, 0)
+        low = int(rank)
+        at = lambda k: F.max(F.when(
+            (F.col("__upto") > k) & (F.col("__upto") - F.col("__n") <= k), F.col(col))).cast("double")
+        high = at(min(low + 1, max(size - 1, 0)))
+        aggs.append((F.lit(low + 1 - rank) * at(low) + F.lit(rank - low) * high).alias(n))
+    return run.agg(*aggs, F.max(col).alias("max"))
 
 
 def total(df: DataFrame, name: str = "n") -> DataFrame:

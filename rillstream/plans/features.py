@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import age_years, date_part, days_until, flag, parse_expiry
-from ..operators.relational import latest
+from ..operators.relational import latest, percentiles, running_total
 from ..operators.windows import Trailing, hop, rolling
 from ..params import DAY
 from ..skew import HOT_ROWS
@@ -83,11 +83,11 @@ def windowed(
 def encode_category(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Integer code of each category in alphabetical order, starting at 0.
 
-    Only the distinct categories are ranked; the code is joined back, broadcast
-    when the list is under Spark's size threshold.
+    Only the distinct categories are ranked, range by range; the code is joined back,
+    broadcast when the list is under Spark's size threshold. NULL has no code.
     """
-    codes = df.select(col).distinct().withColumn(
-        "__code", (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int"))
+    ranked = running_total(df.select(col).filter(F.col(col).isNotNull()).distinct(), [col], F.lit(1), "__code")
+    codes = ranked.withColumn("__code", (F.col("__code") - 1).cast("int"))
     return df.join(codes, col, "left").withColumnRenamed("__code", out or f"{col}_code")
 
 
@@ -102,8 +102,7 @@ def split(df: DataFrame, key: str, test: float = 0.2, by: str = "hash", seed: in
         is_test = part < F.lit(int(test * 1000))
     elif by == "time":
         secs = F.unix_timestamp(F.col(ts))
-        hist = df.filter(F.col(ts).isNotNull()).groupBy(secs.alias("s")).agg(F.count(F.lit(1)).alias("n"))
-        cut = hist.agg(F.percentile("s", 1.0 - test, F.col("n"))).first()[0]  # one number
+        cut = percentiles(df.select(secs.alias("s")), "s", [100 * (1 - test)]).first()[0]  # one number
         is_test = secs > F.lit(cut)
     else:
         raise ValueError("by must be 'hash' or 'time'")

@@ -28,7 +28,7 @@ def decode_json(df: DataFrame, schema: T.StructType) -> DataFrame:
     """
     full = T.StructType([*schema.fields, T.StructField("__bad", T.StringType())])
     parsed = F.from_json(_text(df), full, {"columnNameOfCorruptRecord": "__bad"})
-    rows = df.select(F.inline(F.array(parsed)))
+    rows = df.filter(F.trim(_text(df)) != "").select(F.inline(F.array(parsed)))
     return rows.filter(F.col("__bad").isNull()).drop("__bad")
 
 

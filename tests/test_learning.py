@@ -37,3 +37,15 @@ def test_time_split_is_chronological(spark):
 def test_category_codes(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "c string")
     assert {(r.c, r.c_code) for r in ft.encode_category(df, "c").collect()} == {("a", 0), ("b", 1), ("c", 2)}
+
+
+def test_percentiles_and_codes_over_ranges(spark):
+    import numpy as np
+    from rillstream.operators.relational import percentiles
+    values = [float(x) for x in np.random.default_rng(0).integers(0, 50, 333)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    r = percentiles(df, "v", [0, 12.5, 50, 99, 100]).first()
+    assert np.allclose(list(r)[:5], np.percentile(values, [0, 12.5, 50, 99, 100])) and r["max"] == max(values)
+    names = spark.createDataFrame([(f"n{k % 40:03d}",) for k in range(200)] + [(None,)], "c string")
+    got = {(r.c, r.c_code) for r in ft.encode_category(names, "c").collect()}
+    assert got == {(f"n{k:03d}", k) for k in range(40)} | {(None, None)}
