@@ -25,8 +25,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Drops documents that the quadratic discriminant rejects; it learns from labels outside fold 0 of 5."""
     labels = _table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
     x = kept(quality.with_statistics(docs), "quality")
-    model = quality.fit(x, labels)
-    return quality.scored(docs, model, keep=docs.columns).where(F.col("predicted") == 1).select(docs.columns)
+    return quality.accepted(docs, quality.fit(x, labels))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

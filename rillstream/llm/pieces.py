@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .flat import BASE, Flat, chunks, flat, map_arrow, mix, powers
 
@@ -415,9 +416,9 @@ def _shared(docs: DataFrame, pieces: Pieces):
 
 
 def encoded(docs: DataFrame, pieces: Pieces) -> DataFrame:
-    """docs with ids array<int>: the pieces of text; none for an empty or null text. Other columns stay."""
-    if "ids" in docs.columns:
-        raise ValueError("docs has a column ids already")
+    """docs with ids array<int>: the pieces of text; none for an empty or null text. Other columns stay; one that is
+    called ids already is replaced."""
+    docs = docs.drop("ids")
     shared, names = _shared(docs, pieces), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -427,13 +428,12 @@ def encoded(docs: DataFrame, pieces: Pieces) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids))], [*names, "ids"])
 
-    from pyspark.sql import types as T
-
     return map_arrow(docs, run, T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
 def decoded(rows: DataFrame, pieces: Pieces, column: str = "decoded") -> DataFrame:
-    """rows with the text of ids in ``column``; null ids give an empty text. Other columns stay."""
+    """rows with the text of ids in ``column``; null ids give an empty text. Other columns stay, but for one of that name."""
+    rows = rows.drop(column)
     shared, names = _shared(rows, pieces), rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -445,8 +445,6 @@ def decoded(rows: DataFrame, pieces: Pieces, column: str = "decoded") -> DataFra
             texts = [f.text(i).decode("utf-8", "replace") for i in range(f.n)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*names, column])
 
-    from pyspark.sql import types as T
-
     return map_arrow(rows, run, T.StructType([*rows.schema.fields, T.StructField(column, T.StringType())]))
 
 

@@ -144,20 +144,14 @@ def fit(x: DataFrame, labels: DataFrame, label: str = "quality") -> Discriminant
     return Discriminant(ns[1] / total, np.array(means), np.array(factors), np.array(dets))
 
 
-def scored(docs: DataFrame, model: Discriminant, threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
-    """The ``keep`` columns of docs (doc_id alone by default) with score (0 to 1) and predicted (score >= threshold)."""
-    keep = keep or ["doc_id"]
-    kind = docs.schema
-    schema = ", ".join(f"`{c}` {kind[c].dataType.simpleString()}" for c in keep) + ", score double, predicted int"
+def accepted(docs: DataFrame, model: Discriminant, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, all columns, whose text scores at least ``threshold``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches):
-            s = model.score(statistics(flat(b.column("text"))))
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in keep), pa.array(s), pa.array((s >= threshold).astype(np.int32))],
-                [*keep, "score", "predicted"])
+            yield b.filter(pa.array(model.score(statistics(flat(b.column("text")))) >= threshold))
 
-    return map_arrow(docs.select(*dict.fromkeys([*keep, "text"])), run, schema)
+    return map_arrow(docs, run, docs.schema)
 
 
 def scored_statistics(x: DataFrame, model: Discriminant, threshold: float = THRESHOLD) -> DataFrame:
