@@ -348,7 +348,9 @@ def _named(spans) -> str:
 
 def fit(docs: DataFrame, most: int = TRAIN_DOCS) -> Field:
     """A field trained on ``most`` documents at most: those with a digit or @ whose hashed ids are smallest."""
-    rows = docs.where(F.col("text").rlike("[0-9@]")).orderBy(F.xxhash64("doc_id"), "doc_id").select("text").limit(most)
+    able = docs.where(F.col("text").rlike("[0-9@]")).select(F.xxhash64("doc_id").alias("h"), "text")
+    picked = able.select("h").orderBy("h").limit(most).distinct()  # hashes first: texts of others never move
+    rows = able.join(F.broadcast(picked), "h").orderBy("h", "text").limit(most).select("text")
     return train([r["text"] for r in rows.collect()])
 
 
