@@ -9,7 +9,7 @@ from ..operators import changes as ch
 from ..operators import relational as rel
 from ..operators import windows as win
 from ..params import DAY, AccessParams
-from ..plans import features as ft, ml
+from ..plans import cards, features as ft, ml
 from ..session import scratch
 from ..sources import files, tables
 from ..streaming import maintain as mt
@@ -17,7 +17,7 @@ from ..streaming import streams as st
 from ..streaming.cards import CardAlertMaintainer
 from ..streaming.store import EpochLog, History, KeyedStore
 from .base import Catalog
-from .cards import ALERTS, details_sql, plain
+from .cards import ALERTS, DETECT, FIVE_SQL, details_sql, plain
 from .changes import TXN
 from .learning import FEATURES, MODEL_FEATURES, labelled
 
@@ -29,15 +29,15 @@ BUCKETS = 8
 STEPS = 3
 
 
-def _arrivals(spark, d):
+def _arrivals(spark, d, rows=fx.txn):
     """Transactions in arrival order: every 20th arrives two days late, crossing step borders."""
     delay = F.when(F.col("event_id") % 20 == 0, F.expr("INTERVAL 2 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
-    return fx.txn(spark, d).withColumn("arrival", F.col("ts") + delay)
+    return rows(spark, d).withColumn("arrival", F.col("ts") + delay)
 
 
-def _steps(spark, d):
+def _steps(spark, d, rows=fx.txn):
     """(history, batches) of the arrivals: half preloaded, the rest in STEPS batches."""
-    rows = _arrivals(spark, d)
+    rows = _arrivals(spark, d, rows)
     n = rows.count()
     split = files.split_replay(rows, "arrival", ["event_id"], n // 2, batch_rows=-(-(n - n // 2) // STEPS))
     path = scratch(spark, "replay")
@@ -46,8 +46,8 @@ def _steps(spark, d):
     return files.replay_steps(spark, path, schema)
 
 
-def _run(spark, d, maintainer):
-    history, batches = _steps(spark, d)
+def _run(spark, d, maintainer, rows=fx.txn):
+    history, batches = _steps(spark, d, rows)
     maintainer(history.drop("arrival"), 0)
     for step, batch in batches:
         maintainer(batch.drop("arrival"), step + 1)
@@ -313,53 +313,62 @@ def _prefix_sql(body: str) -> str:
     return _LATE + ", steps AS (SELECT DISTINCT step FROM b), pre_rows AS (SELECT s.step, t.* FROM steps s JOIN b ON b.step <= s.step JOIN txn t USING (event_id))" + body
 
 
-_VELOCITY = """,
-flag AS (SELECT step, cc_num FROM pre_rows GROUP BY step, cc_num, CAST(floor(epoch(ts)) AS BIGINT) // 604800 HAVING count(*) >= 20),
-flagged AS (SELECT DISTINCT step, cc_num FROM flag)
+# The detectors after every step: a card and a step become one key, and the batch text runs on all prefixes at once.
+_PREFIX_FIVE = _prefix_sql(""",
+pnear AS (SELECT * REPLACE (cc_num * 1000 + step + 1 AS cc_num) FROM pre_rows),
+pcust AS (SELECT c.* REPLACE (c.cc_num * 1000 + s.step + 1 AS cc_num) FROM cust c CROSS JOIN steps s),
+""").replace("JOIN txn t USING", "JOIN near_txn t USING") + FIVE_SQL.replace("near_txn", "pnear").replace("JOIN cust", "JOIN pcust") + """,
+flags AS (SELECT 'exact' AS detector, cc_num FROM exact UNION ALL SELECT 'two_bucket', cc_num FROM two
+          UNION ALL SELECT 'one_bucket', cc_num FROM one)
 """
 
 
-def _busy(rows):
-    weekly = rel.partials(rows, ["cc_num"], "ts", 7 * DAY)
-    return weekly.filter("n >= 20").select("cc_num").distinct()
+def _detector_steps(spark, d, report):
+    """Keep every card's detector verdicts current; ``report(store, epoch)`` after each step."""
+    shape = T.StructType.fromDDL(
+        "cc_num bigint, n bigint, exact boolean, two_bucket boolean, one_bucket boolean")
+    history, store = _history(spark), KeyedStore(spark, scratch(spark, "verdicts"), shape, ["cc_num"], BUCKETS)
+    cust = fx.cust(spark, d)
+    verdicts = mt.KeyMaintainer(history, store, lambda rows: cards.detector_table(rows, cust, DETECT, None))
+
+    def step(batch, epoch):
+        verdicts(batch, epoch)
+        report(store, epoch)
+
+    _run(spark, d, step, fx.near_txn)
 
 
-@q("new_alerts_only", o("txn", _prefix_sql(_VELOCITY) + "SELECT cc_num, CAST(min(step) + 1 AS BIGINT) AS step FROM flagged GROUP BY cc_num"))
+@q("new_alerts_only", o("txn near_txn cust", _PREFIX_FIVE + """
+SELECT cc_num // 1000 AS cc_num, min(cc_num % 1000) AS step FROM exact GROUP BY cc_num // 1000"""))
 def new_alerts_only(spark, d):
-    """The step in which each busy card is reported for the first time."""
-    history = _history(spark)
-    shape = T.StructType.fromDDL("cc_num bigint")
-    seen = KeyedStore(spark, scratch(spark, "seen"), shape, ["cc_num"], BUCKETS)
+    """The step in which the exact detector reports a card for the first time."""
+    seen = KeyedStore(spark, scratch(spark, "seen"), T.StructType.fromDDL("cc_num bigint"), ["cc_num"], BUCKETS)
     out = scratch(spark, "reported")
 
-    def step(batch, epoch):
-        history.write(batch, epoch)
-        fresh = mt.new_only(_busy(history.read(epoch)), seen, epoch)
-        fresh.withColumn("step", F.lit(epoch).cast("bigint")).write.mode("append").parquet(out)
+    def report(store, epoch):
+        fresh = mt.new_only(store.current().filter("exact"), seen, epoch)
+        fresh.write.mode("overwrite").parquet(f"{out}/step={epoch}")  # a retried step replaces its own report
 
-    _run(spark, d, step)
+    _detector_steps(spark, d, report)
     return spark.read.schema("cc_num bigint, step bigint").parquet(out)
 
 
-@q("step_metrics", o("txn", _prefix_sql(_VELOCITY) + """
-SELECT 'weekly' AS detector, CAST(p.step + 1 AS INTEGER) AS step, count(DISTINCT p.cc_num) AS flagged_cards, count(*) AS suspicious_txns
-FROM pre_rows p JOIN flagged f ON f.step = p.step AND f.cc_num = p.cc_num GROUP BY p.step"""))
+@q("step_metrics", o("txn near_txn cust", _PREFIX_FIVE + """,
+sizes AS (SELECT cc_num, count(*) AS n FROM pnear GROUP BY cc_num)
+SELECT detector, CAST(cc_num % 1000 AS INTEGER) AS step, count(*) AS flagged_cards, CAST(sum(n) AS BIGINT) AS suspicious_txns
+FROM flags JOIN sizes USING (cc_num) GROUP BY ALL"""))
 def step_metrics(spark, d):
-    """After each step: flagged cards and their transactions so far, from merged partial counts."""
-    parts = History(
-        spark, scratch(spark, "parts"), T.StructType.fromDDL("cc_num bigint, bucket bigint, n bigint"), ["cc_num"], "bucket", BUCKETS)
-    partial = mt.PartialMaintainer(parts, lambda rows: rel.partials(rows, ["cc_num"], "ts", 7 * DAY))
+    """After each step, for all three detectors: flagged cards and their transactions so far."""
     out = scratch(spark, "steps")
 
-    def step(batch, epoch):
-        partial(batch, epoch)
-        weekly = partial.merged(["cc_num", "bucket"])
-        flagged = weekly.filter("n >= 20").select("cc_num").distinct()
-        counts = weekly.groupBy("cc_num").agg(F.sum("n").alias("n"))
-        mt.step_metrics(flagged, counts, epoch, "weekly").write.mode("append").parquet(out)
-
-    _run(spark, d, step)
-    return spark.read.schema("detector string, step int, flagged_cards bigint, suspicious_txns bigint").parquet(out)
+    def report(store, epoch):
+        now = store.current()
+        for k, detector in enumerate(cards.DETECTORS):
+            mt.step_metrics(now.filter(detector), now.select("cc_num", "n"), epoch, detector).write.mode(
+                "overwrite").parquet(f"{out}/epoch={epoch}/part={k}")
+
+    _detector_steps(spark, d, report)
+    return spark.read.parquet(out).drop("epoch", "part").filter("flagged_cards > 0")
 
 
 @q("incremental_partials", o("txn", "SELECT cc_num, CAST(floor(epoch(ts)) AS BIGINT) // 604800 AS bucket, count(*) AS n FROM txn GROUP BY ALL"))
