@@ -52,7 +52,7 @@ class RollingMaintainer:
         self.horizon = max(s.horizon for s in specs.values())
 
     def __call__(self, batch: DataFrame, epoch: int) -> DataFrame:
-        self.history.write(batch.filter(F.col(self.order).isNotNull()), epoch)
+        self.history.write(batch, epoch)
         touched = self.history.only(epoch)
         ranges = _range_of(touched, self.keys, self.order).persist()
         buckets, n = self.history.profile(ranges)
@@ -60,12 +60,11 @@ class RollingMaintainer:
         late = self.horizon  # rows up to one horizon after a late row change too
         context = (
             self.history.read(epoch, buckets).join(small, self.keys)
-            .filter(F.col(self.order).between(_shift("__lo", self.horizon, -1), _shift("__hi", late, 1)))
+            .filter(self._in(_shift("__lo", self.horizon, -1), _shift("__hi", late, 1)))
         )
         hot = self.history.hot_limit(epoch, buckets)
         full = rolling(self.prepare(context), self.keys, self.order, self.specs, hot)
-        after = full.filter(
-            F.col(self.order).between(F.col("__lo"), _shift("__hi", late, 1))).drop("__lo", "__hi")
+        after = full.filter(self._in(F.col("__lo"), _shift("__hi", late, 1))).drop("__lo", "__hi")
         before = self._stored(small, buckets if self.store.shares_buckets(self.history) else None, epoch)
         changes = emit(self.store, before, after.select(*self.store.schema.names), epoch)
         ranges.unpersist()
@@ -75,7 +74,11 @@ class RollingMaintainer:
         """Stored results in the affected ranges."""
         rows = self.store.current(epoch - 1, buckets, only=small, on=self.keys)
         return rows.join(small, self.keys).filter(
-            F.col(self.order).between(F.col("__lo"), _shift("__hi", self.horizon, 1))).drop("__lo", "__hi")
+            self._in(F.col("__lo"), _shift("__hi", self.horizon, 1))).drop("__lo", "__hi")
+
+    def _in(self, lo, hi):
+        """Rows in a range of time; those without a time are one another's peers and always belong together."""
+        return F.col(self.order).between(lo, hi) | F.col(self.order).isNull()
 
 
 class LagMaintainer:

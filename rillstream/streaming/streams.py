@@ -34,7 +34,7 @@ def late_rows(batch: DataFrame, ts: str, max_seen, bound: str) -> tuple[DataFram
     new_max = batch.agg(F.max(ts)).first()[0]
     if max_seen is None:
         return batch, batch.limit(0), new_max
-    too_old = F.col(ts) < F.lit(max_seen) - F.expr(f"INTERVAL {bound}")
+    too_old = F.coalesce(F.col(ts) < F.lit(max_seen) - F.expr(f"INTERVAL {bound}"), F.lit(False))
     best = max_seen if new_max is None else max(max_seen, new_max)
     return batch.filter(~too_old), batch.filter(too_old), best
 
