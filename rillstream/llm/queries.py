@@ -24,9 +24,9 @@ def op3_warc(spark, sf_dir):
 
 @CATALOG.query("op5_topk", sql="""
     WITH v AS (
-      SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+      SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
       FROM embeddings
-      WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, x -> x IS NOT NULL AND isfinite(x)))),
+      WHERE embedding IS NOT NULL AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])),
     s AS (
       SELECT q.vec_id AS query_id, d.vec_id,
              CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(d.e AS DOUBLE[])) AS BIGINT) AS score

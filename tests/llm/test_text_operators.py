@@ -81,6 +81,12 @@ def test_suffix_dedup_awkward(awkward, nothing):
     assert suffix.deduplicate(nothing).collect() == []
 
 
+def test_suffix_dedup_of_crowded_anchors(docs, rows, monkeypatch):
+    monkeypatch.setattr(suffix, "CROWD", 1)
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in suffix.deduplicate(docs).collect()}
+    assert got == {i: (g, s) for i, _, g, s, _ in brute.suffix_dedup(rows)}
+
+
 def test_suffix_sort_is_a_sort_and_survives_hash_collisions(monkeypatch):
     rng = np.random.default_rng(0)
     data = rng.integers(97, 99, 4000).astype(np.uint8)
