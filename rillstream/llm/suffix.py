@@ -16,6 +16,7 @@ Texts move once, keyed by row, and that exchange serves steps 2 and 3. Between s
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,13 +31,16 @@ LENGTH, GRAM = 50, 24
 BUCKET_BYTES, HELD, BLOB = 2 << 20, 2_000_000, 4096
 #: Suffixes that are sorted at once, and contexts of one anchor that are sorted together.
 BLOCK = 400_000
+#: An anchor with more different contexts is resolved string by string.
+CROWD = 1000
+SORT, REPEAT, CROWDED = (np.uint64(k) for k in (0, 1, 2))
 _BLOCK_WINDOWS = 1 << 20
 
 
 def anchors(f: Flat) -> tuple[np.ndarray, ...]:
-    """(document, place, first and last string, anchor hash of 48 bits, context name of 32 bits) of every anchor."""
+    """(document, place, first and last string, anchor hash, context name) of every anchor; names have 48 bits."""
     n = len(f.data)
-    empty = tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64), np.zeros(0, np.uint32))
+    empty = tuple(np.zeros(0, np.int64) for _ in range(4)) + tuple(np.zeros(0, np.uint64) for _ in range(2))
     if n < LENGTH:
         return empty
     pre = Prefixes(f.data)
@@ -67,38 +71,34 @@ def anchors(f: Flat) -> tuple[np.ndarray, ...]:
     last = np.append(new[1:], len(starts)) - 1
     place, lo, hi = own[new], starts[new], starts[last]
     name = mix(pre.sub(lo, hi + LENGTH) + (place - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return f.doc_of(place), place, lo, hi, grams[place] >> np.uint64(16), (name >> np.uint64(32)).astype(np.uint32)
+    return f.doc_of(place), place, lo, hi, grams[place] >> np.uint64(16), name >> np.uint64(16)
 
 
-def _key(h48: np.ndarray, c32: np.ndarray) -> np.ndarray:
-    """One 64-bit name of an anchor with its context, the lowest bit free."""
-    return mix(h48 * np.uint64(0x9E3779B97F4A7C15) + c32.astype(np.uint64)) & ~np.uint64(1)
+def _key(h: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """One 64-bit name of an anchor with its context, the two lowest bits free for SORT, REPEAT or CROWDED."""
+    return mix(h * np.uint64(0x9E3779B97F4A7C15) + mix(c)) & ~np.uint64(3)
 
 
 def _dealt(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Anchors by bucket, packed: five bytes of hash, four of context, four of row; rows are named once per blob."""
+    """Anchors by bucket, packed: five bytes of hash (the bucket holds the rest), six of context; ids by runs."""
     held: list[tuple] = []
-    rows: list[np.ndarray] = []
-    n = base = 0
+    n = 0
 
     def deal() -> Iterator[pa.RecordBatch]:
-        h, c, d = (np.concatenate(x) for x in zip(*held, strict=True))
-        ids, rids = (np.concatenate(x) for x in zip(*rows, strict=True))
-        bucket = (h % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((h, bucket))
-        h, c, d, bucket = h[order], c[order], d[order], bucket[order]
-        new = np.ones(len(h), bool)  # a context once per document
-        new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1]) | (d[1:] != d[:-1])
-        h, c, d, bucket = h[new], c[new], d[new], bucket[new]
+        h, c, ids = (np.concatenate(x) for x in zip(*held, strict=True))
+        bucket = (h % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+        order = np.argsort(bucket, kind="stable")
+        h, c, ids, bucket = h[order] // np.uint64(buckets), c[order], ids[order], bucket[order]
         edge = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
         out: list[tuple] = []
         for a, b in zip(edge, np.append(edge[1:], len(h)), strict=True):
             for at in range(a, b, BLOB):
                 part = slice(at, min(at + BLOB, b))
-                used, place = np.unique(d[part], return_inverse=True)
-                six = h[part].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-                out.append((int(bucket[at]), six.tobytes(), c[part].tobytes(), place.astype(np.uint16).tobytes(),
-                            ids[used].tobytes(), rids[used].tobytes()))
+                own = ids[part]
+                run = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+                steps = np.diff(own[run], prepend=0)
+                out.append((int(bucket[at]), _bytes_of(h[part], 5), _bytes_of(c[part], 6), zlib.compress(steps.tobytes(), 1),
+                            zlib.compress(np.diff(np.append(run, len(own))).astype(np.uint16).tobytes(), 1)))
                 if len(out) == 128:
                     yield _blobs(out)
                     out = []
@@ -109,46 +109,56 @@ def _dealt(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
         f = flat(b.column("text"))
         doc, _, _, _, h, c = anchors(f)
         if len(h):
-            held.append((h, c, doc + base))
-            rows.append((b.column("doc_id").to_numpy(), b.column("rid").to_numpy()))
-            base += b.num_rows
-            n += len(h)
+            new = np.append(True, (h[1:] != h[:-1]) | (c[1:] != c[:-1]) | (doc[1:] != doc[:-1]))  # periodic texts
+            held.append((h[new], c[new], b.column("doc_id").to_numpy()[doc[new]]))
+            n += len(held[-1][0])
         if n >= HELD:
             yield from deal()
-            held, rows, n, base = [], [], 0, 0
+            held, n = [], 0
     if n:
         yield from deal()
 
 
+def _bytes_of(x: np.ndarray, size: int) -> bytes:
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
+
+
+def _numbers(raw: bytes, size: int) -> np.ndarray:
+    out = np.zeros((len(raw) // size, 8), np.uint8)
+    out[:, :size] = np.frombuffer(raw, np.uint8).reshape(-1, size)
+    return out.view("<u8").ravel()
+
+
 def _blobs(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] + [pa.binary()] * 5, strict=True)],
-        ["bucket", "h", "c", "d", "ids", "rids"])
+        [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] + [pa.binary()] * 4, strict=True)],
+        ["bucket", "h", "c", "steps", "runs"])
 
 
-def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rid, key) of anchors whose context is repeated (lowest bit 1) or has to be sorted (0)."""
+def _answered(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """(doc_id, key) of anchors whose context is repeated or has to be compared with others."""
     held: list[tuple] = []
     bucket = None
 
     def answer() -> Iterator[pa.RecordBatch]:
-        h, c, ids, rids = (np.concatenate(x) for x in zip(*held, strict=True))
+        h, c, ids = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.lexsort((ids, c, h))
-        h, c, ids, rids = h[order], c[order], ids[order], rids[order]
+        h, c, ids = h[order], c[order], ids[order]
         new_h = np.append(True, h[1:] != h[:-1])
         new_c = new_h | np.append(True, c[1:] != c[:-1])
         group = np.cumsum(new_h) - 1
         first = np.flatnonzero(new_h)
         shared = (np.maximum.reduceat(ids, first) != np.minimum.reduceat(ids, first))[group]
-        several = (np.add.reduceat(new_c.astype(np.int64), first) > 1)[group]
+        different = np.add.reduceat(new_c.astype(np.int64), first)[group]
+        several = different > 1
         least = ids[np.flatnonzero(new_c)][np.cumsum(new_c) - 1]
         repeat = shared & (ids > least)
         to_sort = shared & several & (ids == least)
-        pick = repeat | to_sort
-        key = _key(h[pick], c[pick]) | repeat[pick].astype(np.uint64)
+        pick = (repeat | to_sort) & (new_c | np.append(True, ids[1:] != ids[:-1]))
+        key = _key(h[pick], c[pick]) | np.where(repeat, REPEAT, np.where(different > CROWD, CROWDED, SORT))[pick]
         for at in range(0, len(key), 100_000):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rids[pick][at:at + 100_000]), pa.array(signed(key[at:at + 100_000]))], ["rid", "key"])
+                [pa.array(ids[pick][at:at + 100_000]), pa.array(signed(key[at:at + 100_000]))], ["doc_id", "key"])
 
     for b in batches:
         for r in b.to_pylist():
@@ -156,11 +166,9 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from answer()
                 held = []
             bucket = r["bucket"]
-            h = np.zeros((len(r["h"]) // 6, 8), np.uint8)
-            h[:, :6] = np.frombuffer(r["h"], np.uint8).reshape(-1, 6)
-            d = np.frombuffer(r["d"], np.uint16)
-            held.append((h.view("<u8").ravel(), np.frombuffer(r["c"], np.uint32),
-                         np.frombuffer(r["ids"], np.int64)[d], np.frombuffer(r["rids"], np.int64)[d]))
+            ids = np.repeat(np.cumsum(np.frombuffer(zlib.decompress(r["steps"]), np.int64)),
+                            np.frombuffer(zlib.decompress(r["runs"]), np.uint16))
+            held.append((_numbers(r["h"], 5) * np.uint64(buckets) + np.uint64(bucket), _numbers(r["c"], 6), ids))
     if held:
         yield from answer()
 
@@ -183,16 +191,16 @@ def _runs(row: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray,
 
 def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows with keys: ranges that are repeats, and contexts to sort."""
-    for b in chunks(batches):
+    for b in chunks(b.filter(pa.compute.is_valid(b.column("keys"))) for b in batches):
         f = flat(b.column("text"))
         keys = b.column("keys")
         off = keys.offsets.to_numpy()
         own = keys.values.to_numpy(zero_copy_only=False)[off[0]:off[-1]].view(np.uint64)
         own_doc = np.repeat(np.arange(b.num_rows), np.diff(off)).astype(np.uint64)
         salt = np.uint64(0xD1342543DE82EF95)
-        named = mix((own & ~np.uint64(1)) + own_doc * salt)
+        named = mix((own & ~np.uint64(3)) + own_doc * salt)
         order = np.argsort(named)
-        named, repeat = named[order], (own & np.uint64(1))[order].astype(bool)
+        named, kind = named[order], (own & np.uint64(3))[order]
         doc, place, lo, hi, h, c = anchors(f)
         if not len(h) or not len(named):
             continue
@@ -200,24 +208,50 @@ def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         i = np.minimum(np.searchsorted(named, want), len(named) - 1)
         hit = named[i] == want
         rids, ids = b.column("rid").to_numpy(), b.column("doc_id").to_numpy()
-        full = np.flatnonzero(hit & repeat[i])
-        row, a, z = _runs(doc[full], lo[full], hi[full] + LENGTH)
+        full = np.flatnonzero(hit & (kind[i] == REPEAT))
+        many = np.flatnonzero(hit & (kind[i] == CROWDED))
+        gone, rest, names = _crowded(f, ids, doc[many], lo[many], hi[many])
+        row, a = np.concatenate([doc[full], doc[many][gone[0]]]), np.concatenate([lo[full], gone[1]])
+        z = np.concatenate([hi[full], gone[1]]) + LENGTH
+        order = np.lexsort((a, row))
+        row, a, z = _runs(row[order], a[order], z[order])
         none = pa.nulls(len(row), pa.binary())
         yield pa.RecordBatch.from_arrays(
             [pa.array(rids[row]), pa.array(a - f.off[row]), pa.array(z - f.off[row]),
              pa.array(signed(mix(rids[row].view(np.uint64)))), pa.array(ids[row]), pa.nulls(len(row), pa.int32()), none],
             schema=_FOUND)
-        part = np.flatnonzero(hit & ~repeat[i])
-        if len(part):
-            a, z = lo[part], hi[part] + LENGTH
+        part = np.flatnonzero(hit & (kind[i] == SORT))
+        if len(part) or len(names):
+            a, z = np.concatenate([lo[part], rest[1]]), np.concatenate([hi[part], rest[1]]) + LENGTH
+            row = np.concatenate([doc[part], doc[many][rest[0]]])
+            rel = np.concatenate([place[part] - lo[part], np.zeros(len(names), np.int64)])
             ends = np.cumsum(z - a)
             body = f.data[np.arange(ends[-1]) + np.repeat(a - (ends - (z - a)), z - a)]
-            context = pa.Array.from_buffers(pa.binary(), len(part), [
+            context = pa.Array.from_buffers(pa.binary(), len(row), [
                 None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(body)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rids[doc[part]]), pa.array(a - f.off[doc[part]]), pa.nulls(len(part), pa.int64()),
-                 pa.array(signed(h[part])), pa.array(ids[doc[part]]),
-                 pa.array((place[part] - a).astype(np.int32)), context], schema=_FOUND)
+                [pa.array(rids[row]), pa.array(a - f.off[row]), pa.nulls(len(row), pa.int64()),
+                 pa.array(signed(np.concatenate([h[part], names]))), pa.array(ids[row]),
+                 pa.array(rel.astype(np.int32)), context], schema=_FOUND)
+
+
+def _crowded(f: Flat, ids: np.ndarray, doc: np.ndarray, lo: np.ndarray, hi: np.ndarray):
+    """Strings of crowded anchors one by one, each its own group: (anchor, start) of those that a smaller document of
+    this batch has too, (anchor, start) of the others, and the groups of the others. So a string that very many
+    documents share reaches its group once per batch."""
+    n = hi - lo + 1
+    owner = np.repeat(np.arange(len(n)), n)
+    start = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(len(owner))
+    name = mix(Prefixes(f.data).sub(start, start + LENGTH)) if len(owner) else np.zeros(0, np.uint64)
+    order = np.lexsort((ids[doc[owner]], name))
+    owner, start, name = owner[order], start[order], name[order]
+    new = np.flatnonzero(np.append(True, name[1:] != name[:-1])) if len(name) else np.zeros(0, np.int64)
+    first = np.repeat(new, np.diff(np.append(new, len(name))))
+    gone = ids[doc[owner]] > ids[doc[owner[first]]]
+    at = np.flatnonzero(gone)
+    for k in range(LENGTH):  # a collision of hashes is no repeat
+        gone[at] &= f.data[start[at] + k] == f.data[start[first[at]] + k]
+    return (owner[gone], start[gone]), (owner[~gone], start[~gone]), name[~gone]
 
 
 class Suffixes:
@@ -316,8 +350,8 @@ def _resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[pa.RecordBatch] = []
     size = 0
 
-    def ranges(rid, lo, hi) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(rid), pa.array(lo), pa.array(hi)], ["rid", "lo", "hi"])
+    def ranges(doc_id, rid, lo, hi) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (doc_id, rid, lo, hi)], ["doc_id", "rid", "lo", "hi"])
 
     def solve(t: pa.Table) -> Iterator[pa.RecordBatch]:
         f = flat(t["context"])
@@ -336,12 +370,12 @@ def _resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         o, a, z = _runs(owner[at], step[at], step[at] + LENGTH)
         lo = t["lo"].to_numpy()
         if len(o):
-            yield ranges(t["rid"].to_numpy()[o], lo[o] + a, lo[o] + z)
+            yield ranges(t["doc_id"].to_numpy()[o], t["rid"].to_numpy()[o], lo[o] + a, lo[o] + z)
 
     for b in batches:
         plain = b.filter(pa.compute.is_null(b.column("context")))
         if plain.num_rows:
-            yield ranges(plain.column("rid"), plain.column("lo"), plain.column("hi"))
+            yield ranges(plain.column("doc_id"), plain.column("rid"), plain.column("lo"), plain.column("hi"))
         b = b.filter(pa.compute.is_valid(b.column("context")))
         if not b.num_rows:
             continue
@@ -366,20 +400,20 @@ OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 stri
 def _cut(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
     for b in chunks(batches):
         f = flat(b.column("text"))
-        los, his = b.column("lo"), b.column("hi")
-        off = los.offsets.to_numpy()
-        have = np.where(los.is_valid().to_numpy(zero_copy_only=False), np.diff(off), 0)
-        lo = los.values.to_numpy(zero_copy_only=False)
-        hi = his.values.to_numpy(zero_copy_only=False)
+        gone_ = b.column("gone")
+        off = gone_.offsets.to_numpy()
+        count = np.where(gone_.is_valid().to_numpy(zero_copy_only=False), np.diff(off), 0)
+        whose, all_lo, all_hi = (x.to_numpy(zero_copy_only=False) for x in gone_.values.flatten())
+        rids = b.column("rid").to_numpy()
         removed, spans, digests, texts = [], [], [], []
         for i in range(b.num_rows):
             body = f.data[f.off[i]:f.off[i + 1]]
-            k = slice(off[i], off[i] + have[i])
-            gone = 0
-            n = 0
-            if have[i]:
-                o = np.argsort(lo[k], kind="stable")
-                _, a, z = _runs(np.zeros(have[i], np.int64), lo[k][o], hi[k][o])
+            k = np.arange(off[i], off[i] + count[i])
+            k = k[whose[k] == rids[i]]
+            gone = n = 0
+            if len(k):
+                k = k[np.argsort(all_lo[k], kind="stable")]
+                _, a, z = _runs(np.zeros(len(k), np.int64), all_lo[k], all_hi[k])
                 n, gone = len(a), int((z - a).sum())
                 body = np.concatenate([body[x:y] for x, y in zip(np.append(0, z), np.append(a, len(body)), strict=True)])
             removed.append(gone)
@@ -405,18 +439,19 @@ def deduplicate(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(64, -(-int(total) // BUCKET_BYTES))
+    buckets = max(256, -(-int(total) // BUCKET_BYTES))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("rid", F.xxhash64("doc_id", "text"))
-    by_row = rows.repartition(parts, "rid")
-    named = rows.where(F.col("doc_id").isNotNull())
-    blobs = map_arrow(named, lambda b: _dealt(b, buckets),
-                      "bucket long, h binary, c binary, d binary, ids binary, rids binary")
-    answers = blobs.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_answered, "rid long, key long")
-    keys = answers.groupBy("rid").agg(F.collect_list("key").alias("keys"))
-    found = by_row.join(keys, "rid").where(F.col("doc_id").isNotNull()).select("rid", "doc_id", "text", "keys").mapInArrow(_located, FOUND)
-    ranges = found.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(_resolved, "rid long, lo long, hi long")
-    gone = ranges.groupBy("rid").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
-    out = by_row.join(gone, "rid", "left").select("doc_id", "text", "lo", "hi")
+    # both joins below are left joins of this very exchange, so that texts move only once
+    by_row = rows.withColumn("rid", F.xxhash64("doc_id", "text")).repartition(parts, "doc_id")
+    blobs = map_arrow(rows.where(F.col("doc_id").isNotNull()), lambda b: _dealt(b, buckets),
+                      "bucket long, h binary, c binary, steps binary, runs binary")
+    answers = blobs.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(
+        lambda b: _answered(b, buckets), "doc_id long, key long")
+    keys = answers.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
+    found = by_row.join(keys, "doc_id", "left").select("rid", "doc_id", "text", "keys").mapInArrow(_located, FOUND)
+    ranges = found.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(
+        _resolved, "doc_id long, rid long, lo long, hi long")
+    gone = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("rid", "lo", "hi")).alias("gone"))
+    out = by_row.join(gone, "doc_id", "left").select("rid", "doc_id", "text", "gone")
     return out.mapInArrow(lambda b: _cut(b, with_text), OUT + (", kept_text string" if with_text else ""))
