@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from .tables import kept
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+def _large_star(e: DataFrame, n: int) -> DataFrame:
     both = e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = kept(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
+    least = kept(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least", 2 * n)
     return both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(e: DataFrame) -> DataFrame:
+def _small_star(e: DataFrame, n: int) -> DataFrame:
     down = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = kept(down.groupBy("a").agg(F.min("b").alias("m")), "least")
+    least = kept(down.groupBy("a").agg(F.min("b").alias("m")), "least", 2 * n)
     moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b")))
 
@@ -29,8 +29,9 @@ def components(edges: DataFrame) -> DataFrame:
     """
     clean = lambda e: e.where(F.col("a") != F.col("b")).distinct()
     e, before = kept(clean(edges.select("a", "b")), "edges"), None
-    while True:
-        e = kept(clean(_small_star(kept(clean(_large_star(e)), "edges"))), "edges")
+    n = e.count()
+    while n:
+        e = kept(clean(_small_star(kept(clean(_large_star(e, n)), "edges", 2 * n), 2 * n)), "edges", 2 * n)
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before or not now[0]:
             break

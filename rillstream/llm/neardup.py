@@ -3,11 +3,13 @@
 A document is the set of hashes of its five-word shingles. Coordinate k of the signature is the smallest value of
 pi(sigma(s) + k * STEP) over the set: sigma scatters the shingles once, and the one permutation pi of the 64-bit ring
 is used circularly shifted, k steps for coordinate k. Documents with equal sets form one class; only class
-representatives are banded. In each bucket the members are compared with the smallest one first; then only pairs that
-are still in different components are compared, so a group of copies costs its size, not its square. Candidates are
-confirmed on whole sets.
+representatives are banded. In each bucket the members are compared with the smallest one first. Of buckets that still
+hold several components, members drop out of which too few shingles occur in any other such member: a link needs three
+quarters of them, so none is lost. Those left are compared with the most typical member of their bucket, and only then
+are pairs compared that are still in different components; a group of copies costs its size, not its square.
+Candidates are confirmed on whole sets.
 
-With 24 bands of 3 a pair at similarity 0.75 escapes with probability (1 - 0.75^3)^24 = 1e-6.
+With 40 bands of 5 a pair at similarity 0.75 escapes with probability (1 - 0.75^5)^40 = 2e-5.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from .components import components
 from .flat import Words, chunks, flat, map_arrow, mix, segments, signed, words
 from .tables import kept
 
-SHINGLE, BANDS, ROWS = 5, 24, 3
+SHINGLE, BANDS, ROWS = 5, 40, 5
 SIMILARITY_PERCENT = 75
 STEP = np.uint64(0xD1342543DE82EF95)
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -114,14 +116,39 @@ def _plain(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def _linked(pairs: DataFrame, have: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+def _common(pairs: DataFrame, have: DataFrame) -> DataFrame:
+    """(a, b, common, united) of pairs (a, b): sizes of the intersection and the union of their sets."""
     left = have.select(F.col("doc_id").alias("a"), F.col("s").alias("sa"))
     right = have.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    return pairs.join(left, "a").join(right, "b").where(
-        (100 * F.least(F.size("sa"), F.size("sb")) >= percent * F.greatest(F.size("sa"), F.size("sb")))
-        & (100 * both >= percent * (F.size("sa") + F.size("sb") - both))).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", both.alias("common"), (
+        F.size("sa") + F.size("sb") - both).alias("united"))
+
+
+def _linked(pairs: DataFrame, have: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough."""
+    return _common(pairs, have).where(100 * F.col("common") >= percent * F.col("united")).select("a", "b")
+
+
+def _open(members: DataFrame, united: DataFrame, size: int) -> DataFrame:
+    """(band, rep, component) of buckets that hold more than one component."""
+    placed = kept(members.select("band", "rep").join(united.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "band", "rep", F.coalesce("component", "rep").alias("component")), "placed", size)
+    several = kept(placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                   .where(F.col("lo") != F.col("hi")).select("band"), "several", size)
+    return placed.join(several, "band")
+
+
+def _shares(ids: DataFrame, have: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, n, shared, typical) of documents of which enough shingles occur in another one of ids.
+
+    A link says shared >= percent of united >= percent of the document's own n. typical sums how often they occur.
+    """
+    own = have.join(ids, "doc_id", "left_semi").select("doc_id", F.size("s").alias("n"), F.explode("s").alias("shingle"))
+    often = kept(own.groupBy("shingle").agg(F.count("*").alias("times")).where(F.col("times") > 1), "often")
+    return own.join(often, "shingle").groupBy("doc_id", "n").agg(
+        F.count("*").alias("shared"), F.sum("times").alias("typical")).where(
+        100 * F.col("shared") >= percent * F.col("n")).select("doc_id", "n", "shared", "typical")
 
 
 def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataFrame:
@@ -147,18 +174,31 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
     pair = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     first = members.where(F.col("rep") != F.col("leader")).select(*pair("rep", "leader")).distinct()
     edges = kept(_linked(first, have, percent), "links")
+    size = members.count()
+    # the smallest leader that a member is linked with stands for its component here: finer, so no pair is missed
+    led = kept(edges.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("component")), "led", size)
+    open_ = kept(_open(members, led, size), "open", size)
+    share = kept(_shares(open_.select(F.col("rep").alias("doc_id")).distinct(), have, percent), "shares")
+    open_ = kept(open_.join(share.withColumnRenamed("doc_id", "rep"), "rep"), "open", size)
+    typical = kept(open_.groupBy("band").agg(F.max(F.struct("typical", "rep"))["rep"].alias("pivot")), "pivots", size)
+    near = kept(_common(open_.join(typical, "band").where(F.col("rep") != F.col("pivot")).select(
+        F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct(), have), "near")
+    edges = kept(edges.unionByName(near.where(100 * F.col("common") >= percent * F.col("united")).select("a", "b")), "links")
     united = kept(components(edges), "united")
-    # members of a bucket that are in other components than its leader meet all members outside their own
-    placed = members.join(united.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
-        "component", F.coalesce("component", "rep"))
-    open_ = kept(placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                 .where(F.col("lo") != F.col("hi")).select("band"), "open")
-    placed = kept(placed.join(open_, "band").select("band", "rep", "leader", "component"), "placed")
-    x = placed.where(F.col("rep") != F.col("leader")).select("band", F.col("rep").alias("x"), F.col("component").alias("cx"))
-    y = placed.where(F.col("rep") != F.col("leader")).select("band", F.col("rep").alias("y"), F.col("component").alias("cy"))
-    rest = x.join(y, "band").where(F.col("cx") < F.col("cy")).select(*pair("x", "y")).distinct()
-    more = kept(_linked(rest, have, percent), "links")
-    joined = kept(components(edges.unionByName(more)), "united")
+    left = _open(open_.select("band", "rep"), united, size).join(typical, "band").join(
+        near.select(F.col("a").alias("rep"), F.col("b").alias("pivot"), "common"), ["rep", "pivot"], "left").join(
+        share.select(F.col("doc_id").alias("rep"), "n", "shared"), "rep").join(
+        known.select(F.col("doc_id").alias("rep"), "bands"), "rep").select(
+        "band", "rep", "component", "n", "shared", F.coalesce("common", "n").alias("common"), "bands")
+    left = kept(left, "left")
+    x, y = (left.select("band", *(F.col(c).alias(c + k) for c in left.columns if c != "band")) for k in "xy")
+    # What two documents have in common lies in the typical one, at most as much as either has of it, or outside, at
+    # most as much as either has of shingles that occur elsewhere. A pair is looked at in one of its buckets.
+    most = F.least("commonx", "commony") + F.least(F.col("sharedx") - F.col("commonx"), F.col("sharedy") - F.col("commony"))
+    rest = x.join(y, "band").where(
+        (F.col("componentx") < F.col("componenty")) & ((100 + percent) * most >= percent * (F.col("nx") + F.col("ny")))
+        & (F.array_min(F.array_intersect("bandsx", "bandsy")) == F.col("band"))).select(*pair("repx", "repy")).distinct()
+    joined = kept(components(edges.unionByName(_linked(rest, have, percent))), "united")
 
     by_class = kept(classes.join(joined.withColumnRenamed("id", "rep"), "rep", "left").select(
         *key, F.coalesce("component", "rep").alias("class_component")), "by-class")
