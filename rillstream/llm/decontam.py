@@ -2,9 +2,11 @@
 
 A seed is a hash of the tokens that a fixed mask selects; the other positions may differ. Seeds of every document
 position meet the seeds of the benchmark in a hash join; documents with hits are read again and windows of the tokens
-aligned by a hit are compared. The two masks together hit every window of 13 tokens in which any 2 differ (a brute-force test holds them to
-it), so within the definition nothing is missed. The benchmark is broadcast in blocks of at most ``BLOCK_TOKENS``
-tokens, whatever its size; documents are never paired with each other.
+aligned by a hit are compared. ``MASKS`` hit every window of 13 tokens in which any 2 differ, ``SHORT_MASKS`` every whole
+item of 9 to 12 tokens in which any 2 differ (enumerating tests hold both to it), so within the definition nothing is
+missed. Items of fewer than 9 tokens are outside the definition: they are skipped, exact copies of them too. Documents
+get seeds of the short masks only where the benchmark has an item for them. The benchmark is broadcast in blocks of at
+most ``BLOCK_TOKENS`` tokens, whatever its size; documents are never paired with each other.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MASKS = ("1101111", "110100111")
+SHORT_MASKS = ("11101", "100111")
 WINDOW, DIFFERENT = 13, 2
 MIN_TOKENS = 9
 BLOCK_TOKENS = 250_000
@@ -23,19 +26,19 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def seeds(rows: DataFrame, keep: str) -> DataFrame:
+def seeds(rows: DataFrame, keep: str, masks: tuple[str, ...] = MASKS) -> DataFrame:
     """(keep, seed, pos) of rows (keep, words): one row per position and mask that fits there."""
     n = F.size("words")
 
-    def of(mask: str, k: int) -> Column:
-        at = lambda i: F.xxhash64(F.lit(k), *(F.get("words", i + o) for o, bit in enumerate(mask) if bit == "1"))
+    def of(mask: str) -> Column:
+        at = lambda i: F.xxhash64(F.lit(mask), *(F.get("words", i + o) for o, bit in enumerate(mask) if bit == "1"))
         return F.when(n >= len(mask), F.transform(F.sequence(F.lit(0), n - len(mask)), at)).otherwise(
             F.array().cast("array<bigint>"))
 
     # only hashes leave this projection: exploding beside the words would copy them for every position
-    lists = rows.select(keep, *(of(m, k).alias(f"s{k}") for k, m in enumerate(MASKS)))
+    lists = rows.select(keep, *(of(m).alias(f"s{k}") for k, m in enumerate(masks)))
     places = F.concat(*(F.transform(
-        F.col(f"s{k}"), lambda seed, i: F.struct(seed.alias("seed"), i.alias("pos"))) for k in range(len(MASKS))))
+        F.col(f"s{k}"), lambda seed, i: F.struct(seed.alias("seed"), i.alias("pos"))) for k in range(len(masks))))
     return lists.select(keep, F.explode(places).alias("p")).select(keep, "p.seed", "p.pos")
 
 
@@ -52,21 +55,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_tokens: int = BLOC
     """(doc_id, item_id), distinct: documents that hold 13 aligned tokens of an item (all of a shorter one), 2 of them
     different at most.
 
-    Items of fewer than 9 tokens are no evidence and match nothing. Null texts and rows with null ids have no tokens or
+    Items of fewer than 9 tokens are no evidence: they are skipped and match nothing, not even exact copies. Null texts and rows with null ids have no tokens or
     no name and take part in nothing. Repeated rows count once. Extra columns are ignored.
     """
     items = benchmark.where(F.col("item_id").isNotNull()).select(
         F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text")).alias("words")).where(
         F.size("words") >= MIN_TOKENS)
-    total = items.agg(F.sum(F.size("words"))).first()[0] or 0
-    blocks = max(1, -(-int(total) // block_tokens))
+    total, least = items.agg(F.sum(F.size("words")), F.min(F.size("words"))).first()
+    blocks = max(1, -(-int(total or 0) // block_tokens))
+    any_short = least is not None and least < WINDOW
     named = docs.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    all_seeds = seeds(named.select("doc_id", tokens(F.col("text")).alias("words")), "doc_id")
+    all_seeds = seeds(named.select("doc_id", tokens(F.col("text")).alias("words")), "doc_id",
+                      MASKS + SHORT_MASKS if any_short else MASKS)
     hits = None
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
-        known = seeds(block, "item_id").withColumnRenamed("pos", "item_pos")
+        known = seeds(block.where(F.size("words") >= WINDOW), "item_id")
+        if any_short:
+            known = known.unionByName(seeds(block.where(F.size("words") < WINDOW), "item_id", SHORT_MASKS))
+        known = known.withColumnRenamed("pos", "item_pos")
         found = all_seeds.join(F.broadcast(known), "seed").select(
             "doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"))
         hits = found if hits is None else hits.unionByName(found)

@@ -113,6 +113,29 @@ def test_masks_hit_every_window_with_two_differences():
                    for m in decontam.MASKS for s in range(decontam.WINDOW - len(m) + 1)), bad
 
 
+def test_masks_hit_every_short_item_with_two_differences():
+    for size in range(decontam.MIN_TOKENS, decontam.WINDOW + 1):
+        masks = decontam.MASKS if size == decontam.WINDOW else decontam.SHORT_MASKS
+        for bad in itertools.combinations(range(size), decontam.DIFFERENT):
+            assert any(all(s + o not in bad for o, bit in enumerate(m) if bit == "1")
+                       for m in masks for s in range(size - len(m) + 1)), (size, bad)
+
+
+def test_decontamination_of_short_items_with_every_two_differences(spark):
+    items = [(n, " ".join(f"q{n}x{k}" for k in range(n))) for n in range(8, 14)]
+    made = []
+    for n, text in items:
+        for bad in [(), *itertools.combinations(range(n), 1), *itertools.combinations(range(n), 2),
+                    *itertools.combinations(range(n), 3)]:
+            w = ["zz" if k in bad else x for k, x in enumerate(text.split())]
+            made.append((len(made), "so it says " + " ".join(w) + " and ends", n if n > 8 and len(bad) < 3 else None))
+    probe = spark.createDataFrame([m[:2] for m in made], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for block_tokens in (15, decontam.BLOCK_TOKENS):
+        got = {(r.doc_id, r.item_id) for r in decontam.contaminated(probe, bench, block_tokens).collect()}
+        assert got == {(i, n) for i, _, n in made if n is not None}
+
+
 def test_decontamination(spark, data_dir, docs, rows):
     bench = spark.read.parquet(f"{data_dir}/benchmark.parquet")
     items = [(r.item_id, r.text) for r in bench.collect()]
