@@ -1,15 +1,17 @@
 """Personal data: exact base patterns, and a semi-Markov conditional random field that adds spans.
 
-The field segments windows of tokens around digits, @ and spelt-out "at" that no base span explains. A segment is one
+The field segments windows of tokens around digits, @ and "at" in brackets that no base span explains; a bare word "at"
+opens no window. A window goes on as long as such places follow each other, however long that is. A segment is one
 ordinary token or an entity of at most ``LONGEST`` tokens; its score sums weights of features of the whole span, so
 digit counts, checksums and shapes across tokens decide boundaries and type jointly, by dynamic programming over
-segment ends. It is trained here by conditional likelihood on a bounded sample of the documents, whose base matches
+segment ends, in time and memory linear in the window. It is trained here by conditional likelihood on a bounded sample of the documents, whose base matches
 (also rewritten the way people disguise them) are the entities and everything else is not.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -74,8 +76,8 @@ _TRIGGER = re.compile(r"[0-9@]|(?i:[\[({]\s?at\s?[\])}])")
 _TOKEN = re.compile(r"\S+")
 _TRIM_LEFT, _TRIM_RIGHT = ".,;:!?\"'#$%&*<>|=", ".,;:!?\"'#$%&*<>|=(["
 LONGEST, AROUND = 6, 4
-#: Bounds of the training sample: documents with a trigger, and windows.
-TRAIN_DOCS, TRAIN_WINDOWS, EPOCHS = 600, 300, 15
+#: Bounds of the training sample: documents with a trigger, windows, and tokens of one.
+TRAIN_DOCS, TRAIN_WINDOWS, TRAIN_TOKENS, EPOCHS = 600, 300, 64, 15
 _AT, _DOT = re.compile(r"(?i)\s?[\[({]\s?at\s?[\])}]\s?"), re.compile(r"(?i)\s?[\[({]\s?(?:dot|\.)\s?[\])}]\s?")
 _CUES = (("mail", "contact"), ("ip", "host", "server", "address"), ("card", "visa", "credit", "pan"),
          ("phone", "tel", "call", "mobile", "fax"))
@@ -150,7 +152,7 @@ class Field:
         return cls(np.zeros((5, FEATURES)), np.zeros((5, 5)))
 
     def segments(self, w: Window) -> dict[tuple[int, int], np.ndarray]:
-        """Feature vectors of all segments; an entity must hold a digit, @ or spelt-out at."""
+        """Feature vectors of all segments; an entity must hold a digit, @ or "at" in brackets."""
         out = {}
         n = len(w.tokens)
         for i in range(n):
@@ -160,36 +162,43 @@ class Field:
         return out
 
     def scores(self, w: Window, segs) -> dict[tuple[int, int], np.ndarray]:
-        out = {}
-        for (i, j), x in segs.items():
-            s = self.weights @ x
-            if j > i + 1:
-                s[0] = -np.inf
-            if not _TRIGGER.search(w.text, w.tokens[i][0], w.tokens[j - 1][1]):
-                s[1:] = -np.inf
-            out[i, j] = s
-        return out
+        return {(i, j): self.score(x, i, j, self.triggered(w, i, j)) for (i, j), x in segs.items()}
+
+    @staticmethod
+    def triggered(w: Window, i: int, j: int) -> bool:
+        return bool(_TRIGGER.search(w.text, w.tokens[i][0], w.tokens[j - 1][1]))
+
+    def score(self, x: np.ndarray, i: int, j: int, triggered: bool) -> np.ndarray:
+        s = self.weights @ x
+        if j > i + 1:
+            s[0] = -np.inf
+        if not triggered:
+            s[1:] = -np.inf
+        return s
 
     def best(self, w: Window) -> list[tuple[int, int, int]]:
-        """The segmentation of highest score, entities only: (first token, label, token after)."""
+        """The segmentation of highest score, entities only: (first token, label, token after).
+
+        Segments are scored as the search meets them, so a long window holds two small rows per token and no features.
+        """
         n = len(w.tokens)
-        scores = self.scores(w, self.segments(w))
         value = np.full((n + 1, 5), -np.inf)
         value[0, 0] = 0
-        back: dict[tuple[int, int], tuple[int, int]] = {}
+        back = np.zeros((n + 1, 5, 2), np.int32)
         for j in range(1, n + 1):
             for i in range(max(0, j - LONGEST), j):
-                if (i, j) not in scores:
+                triggered = self.triggered(w, i, j)
+                if j > i + 1 and not triggered:
                     continue
                 reach = value[i][:, None] + self.moves
                 prev = reach.argmax(0)
-                total = reach[prev, np.arange(5)] + scores[i, j]
+                total = reach[prev, np.arange(5)] + self.score(span_features(w, i, j), i, j, triggered)
                 for y in np.flatnonzero(total > value[j]):
                     value[j, y] = total[y]
-                    back[j, int(y)] = (i, int(prev[y]))
+                    back[j, y] = i, prev[y]
         out, j, y = [], n, int(value[n].argmax())
         while j > 0:
-            i, prev = back[j, y]
+            i, prev = map(int, back[j, y])
             if y:
                 out.append((i, y, j))
             j, y = i, prev
@@ -227,7 +236,7 @@ class Field:
 
 
 def windows(text: str, explained: list[tuple[int, int, int]]) -> list[Window]:
-    """Token windows around triggers outside the spans ``explained``."""
+    """Token windows around triggers outside the spans ``explained``; each ends only where no trigger is near."""
     places, k = [], 0
     spans = sorted((a, z) for a, _, z in explained)
     reach = 0
@@ -253,7 +262,7 @@ def windows(text: str, explained: list[tuple[int, int, int]]) -> list[Window]:
         if after:
             tokens.append((a, z))
             after -= 1
-            if not after or len(tokens) >= 64:
+            if not after:
                 out.append(Window(text, tokens))
                 tokens, after, recent = [], 0, []
                 continue
@@ -299,7 +308,8 @@ def train(texts: list[str], most: int = TRAIN_WINDOWS, epochs: int = EPOCHS) ->
         if len(examples) >= most:
             break
         base = base_spans(t)
-        for w in windows(t, base)[:2]:
+        parts = (Window(t, w.tokens[at:at + TRAIN_TOKENS]) for w in windows(t, base) for at in range(0, len(w.tokens), TRAIN_TOKENS))
+        for w in itertools.islice(parts, 2):
             examples.append((w, []))
         for k, (a, kind, z) in enumerate(base[:3]):
             left, right = t[max(0, a - 30):a], t[z:z + 30]

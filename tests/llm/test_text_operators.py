@@ -217,6 +217,19 @@ def test_personal_data_awkward_and_added_spans(spark, awkward, nothing):
     assert pii.redacted(awkward, field).schema.names == awkward.schema.names
 
 
+def test_added_spans_are_found_at_every_place_of_a_dense_run():
+    field = pii.Field.empty()  # a segment that reads as one address outweighs ordinary tokens, others do not
+    field.weights[:, 0], field.weights[1, 10] = [1, -5, -20, -20, -20], 20
+    hidden = "jo [at] example [dot] com"
+    for before in range(50, 80):  # numbers keep one window open; its 64th token lies before, in or after the span
+        text = f"{'7 ' * before}{hidden}{' 7' * 10}"
+        at = 2 * before
+        assert pii.all_spans(text, field) == ([], [(at, 0, at + len(hidden))]), before
+        assert pii.redact(text, field) == text.replace(hidden, "<EMAIL>")
+    w, = pii.windows("7 " * 5000, [])
+    assert len(w.tokens) == 5000
+
+
 def test_language_model(docs, rows):
     train = docs.where(fold("doc_id", 10) != 0)
     learned = {r.doc_id for r in train.select("doc_id").collect()}
