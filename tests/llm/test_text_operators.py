@@ -309,6 +309,59 @@ def test_language_identification(docs, rows, awkward, nothing):
     assert {r.lang_pred for r in langid.identified(awkward, langid.fit(nothing)).collect()} == {"und"}
 
 
+SAMPLES = {
+    "ru": "Поздно вечером старый паром в последний раз вышел из гавани, и только несколько человек пришли его проводить. "
+          "Капитан поднял руку, и серая вода сомкнулась за ними. Никто в деревне не помнил, кто посадил этот сад.",
+    "uk": "Пізно ввечері старий пором востаннє вийшов із гавані, і лише кілька людей прийшли його провести. "
+          "Капітан підняв руку, і сіра вода зімкнулася за ними. Ніхто в селі не пам'ятав, хто посадив цей сад.",
+    "pl": "Późnym wieczorem stary prom po raz ostatni wypłynął z portu i tylko kilka osób przyszło go pożegnać. "
+          "Kapitan podniósł rękę, a szara woda zamknęła się za nimi. Nikt we wsi nie pamiętał, kto zasadził ten sad.",
+    "cs": "Pozdě večer starý přívoz naposledy vyplul z přístavu a jen několik lidí se přišlo rozloučit. "
+          "Kapitán zvedl ruku a šedá voda se za nimi zavřela. Nikdo ve vsi si nepamatoval, kdo tu zahradu zasadil.",
+}
+PROBES = [("ru", "никто не пришёл проводить капитана"), ("uk", "ніхто не прийшов провести капітана"),
+          ("ru", "СТАРЫЙ САД В ДЕРЕВНЕ"), ("uk", "СТАРИЙ САД У СЕЛІ"),
+          ("pl", "nikt nie pamiętał kapitana"), ("cs", "nikdo si nepamatoval kapitána")]
+
+
+def test_languages_of_one_script_are_told_apart(spark):
+    # each sample beside itself with its letters exchanged: the same word lengths, so letters alone decide
+    def other(text, first, size):
+        return "".join(chr(first + (ord(c) - first + 7) % size) if first <= ord(c) < first + size else c for c in text.lower())
+
+    greek = "αργά το βράδυ το παλιό πλοίο έφυγε από το λιμάνι για τελευταία φορά και λίγοι ήρθαν να το δουν"
+    hindi = "शाम को पुरानी नाव आखिरी बार घाट से चली और उसे देखने बहुत कम लोग आए थे"
+    pairs = {"ru": (SAMPLES["ru"], 0x430, 32), "el": (greek, 0x3B1, 25), "hi": (hindi, 0x915, 37)}
+    for name, (text, first, size) in pairs.items():
+        model = langid.Languages.learn({name: text, "other": other(text, first, size)})
+        words = text.lower().split()
+        probes = [" ".join(words[k:k + 4]) for k in range(0, len(words) - 4, 3)]
+        assert set(model.predict(probes)[0]) == {name}
+        assert set(model.predict([other(t, first, size) for t in probes])[0]) == {"other"}
+    rows = spark.createDataFrame([(k, t, x) for k, (x, t) in enumerate(SAMPLES.items())], "doc_id long, text string, lang string")
+    got = langid.identified(spark.createDataFrame([(k, t) for k, (_, t) in enumerate(PROBES)], "doc_id long, text string"),
+                            langid.fit(rows)).orderBy("doc_id").collect()
+    assert [r.lang_pred for r in got] == [x for x, _ in PROBES]
+
+
+def test_packed_automata_hold_every_transition_and_no_other():
+    rng = np.random.default_rng(4)
+    for letters in (3, 60, 4000):
+        s = rng.integers(1, letters, 3000)
+        rows = langid.suffix_automaton(s)
+        (owner, to), root = langid.packed(rows, letters)
+        place, todo = {0: root}, [0]
+        while todo:
+            state = todo.pop()
+            at = place[state]
+            assert {int(c) for c in np.flatnonzero(owner[at:at + letters] == at)} == set(rows[state])
+            for c, after in rows[state].items():
+                if after not in place:
+                    todo.append(after)
+                assert place.setdefault(after, int(to[at + c])) == to[at + c]
+        assert len(set(place.values())) == len(rows)
+
+
 def test_automaton_phrases_are_greedy_longest_matches():
     model = langid.Languages.learn({"x": "abracadabra alakazam", "y": "banana split"})
     table = langid.symbol_table()
