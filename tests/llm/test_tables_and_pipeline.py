@@ -12,7 +12,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import corpus_pipeline  # noqa: E402
-from conftest import awkward_rows  # noqa: E402
+from llm_rows import awkward_rows  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from rillstream.llm import topk, warc  # noqa: E402
@@ -132,7 +132,7 @@ def test_pipeline_stages(spark, data_dir):
             assert after.columns == docs.columns, name
             assert {r.doc_id for r in after.select("doc_id").collect()} <= {r.doc_id for r in before.select("doc_id").collect()}
         if name == "near-duplicates":
-            from brute import near_duplicates
+            from llm_brute import near_duplicates
             rows = sorted((r.doc_id, r.text) for r in before.collect())
             assert {r.doc_id for r in after.collect()} == {i for i, (_, c) in near_duplicates(rows).items() if i == c}
         if name == "personal data":

@@ -11,8 +11,8 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-import brute  # noqa: E402
-from conftest import OTHER, PROSE, awkward_rows  # noqa: E402
+import llm_brute as brute  # noqa: E402
+from llm_rows import OTHER, PROSE, awkward_rows  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from rillstream.llm import decontam, langid, lm, neardup, pieces, pii, quality, suffix  # noqa: E402
