@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog.base import Catalog
-from . import decontam, langid, lm, neardup, pieces, pii, quality, suffix, topk, warc
+from . import align, bpe, decontam, kmeans, langid, lm, neardup, pieces, pii, quality, suffix, topk, warc
 from .folds import fold, held_out
 from .tables import kept
 
@@ -86,3 +86,48 @@ def op6_langid(spark, sf_dir):
 @CATALOG.query("op1_sentencepiece")
 def op1_sentencepiece(spark, sf_dir):
     return pieces.digests(table(spark, sf_dir, "documents"), pieces.Pieces.load(pieces.default_model()))
+
+
+def clustering_sql(k: int = 8, rounds: int = 10, dim: int = 64) -> str:
+    """All rounds as one chain of common table expressions, distances by brute force."""
+    parts = [f"""
+    v AS MATERIALIZED (
+      SELECT row_number() OVER () AS rid, vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
+      WHERE len(embedding) = {dim} AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])),
+    c0 AS MATERIALIZED (
+      SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), e) - 1 AS c, e FROM v WHERE vec_id IS NOT NULL
+      QUALIFY c < {k})"""]
+    for r in range(rounds + 1):
+        parts.append(f"""
+    a{r} AS MATERIALIZED (
+      SELECT v.vec_id, v.e, min({{'d': list_sum([CAST((p[1] - p[2]) * (p[1] - p[2]) AS HUGEINT) FOR p IN list_zip(v.e, q.e)]), 'c': q.c}}) AS n
+      FROM v CROSS JOIN c{r} q GROUP BY v.rid, v.vec_id, v.e)""")
+        if r < rounds:
+            parts.append(f"""
+    s{r} AS (
+      SELECT c, pos, sum(x) AS s, count(*) AS k FROM (
+        SELECT n.c AS c, unnest(e) AS x, unnest(range({dim})) AS pos FROM a{r}) GROUP BY c, pos),
+    m{r} AS (
+      SELECT c, list(CAST((s - ((s % k) + k) % k) // k AS BIGINT) ORDER BY pos) AS e FROM s{r} GROUP BY c),
+    c{r + 1} AS MATERIALIZED (
+      SELECT p.c, coalesce(m.e, p.e) AS e FROM c{r} p LEFT JOIN m{r} m ON m.c = p.c)""")
+    return "WITH " + ",".join(parts) + f"""
+    SELECT vec_id, CAST(a.n.c AS INTEGER) AS cluster, CAST(a.n.d AS BIGINT) AS distance,
+           CAST(sum(a.n.d) OVER (PARTITION BY a.n.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.n.d) OVER () AS BIGINT) AS inertia,
+           sha256(array_to_string(q.e, ',')) AS centroid_sha256
+    FROM a{rounds} a JOIN c{rounds} q ON q.c = a.n.c"""
+
+
+@CATALOG.query("op11_clustering", sql=clustering_sql())
+def op11_clustering(spark, sf_dir):
+    return kmeans.report(*kmeans.clustered(table(spark, sf_dir, "embeddings")))
+
+
+@CATALOG.query("op12_token_counts")
+def op12_token_counts(spark, sf_dir):
+    return bpe.counted(table(spark, sf_dir, "documents"), bpe.Merges.load(bpe.default_file()))
+
+
+@CATALOG.query("op13_alignment")
+def op13_alignment(spark, sf_dir):
+    return align.aligned(table(spark, sf_dir, "documents"), align.Tokenizers.load(*align.default_files()))
