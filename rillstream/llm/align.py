@@ -21,7 +21,6 @@ from __future__ import annotations
 import hashlib
 import itertools
 import json
-import os
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import byte_letters
+from .bpe import LONGEST_REMEMBERED, REMEMBERED, Counter, Merges, byte_letters
 from .flat import Flat, chunks, flat, sums_by
 from .tables import kept
 
@@ -47,10 +46,11 @@ CHUNK = 1 << 20
 
 @dataclass
 class Tokenizers:
-    """The two model files' contents, and the bytes of every id."""
+    """The two model files' contents, how A splits texts, and the bytes of every id."""
 
     a_spec: str
     b_model: bytes
+    merges: Merges
     a_bytes: list[bytes]
     b_bytes: list[bytes]
 
@@ -70,17 +70,13 @@ class Tokenizers:
         for i in range(processor.get_piece_size()):
             piece = processor.id_to_piece(i)
             b.append(bytes([int(piece[3:5], 16)]) if processor.is_byte(i) else piece.replace("▁", " ").encode())
-        return cls(a_spec, b_model, [a.get(i, b"") for i in range(max(a) + 1)], b)
+        return cls(a_spec, b_model, Merges.parse(a_spec), [a.get(i, b"") for i in range(max(a) + 1)], b)
 
 
 def _a(spec: str):
     from tokenizers import Tokenizer
 
-    out = Tokenizer.from_str(spec)
-    out.encode_special_tokens = True
-    out.no_truncation()
-    out.no_padding()
-    return out
+    return Tokenizer.from_str(spec)
 
 
 def _b(model: bytes):
@@ -89,6 +85,28 @@ def _b(model: bytes):
     return sentencepiece.SentencePieceProcessor(model_proto=model)
 
 
+class PieceIds(Counter):
+    """Ids of A by piece of its split pattern: each distinct piece of a task goes through the model once."""
+
+    def __init__(self, spec: str, merges: Merges):
+        super().__init__(merges)
+        self.model, self.letters = _a(spec).model, byte_letters()
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        letters = self.letters
+        out = tuple(t.id for t in self.model.tokenize("".join([letters[b] for b in piece.encode()])))
+        if len(piece) <= LONGEST_REMEMBERED:
+            self[piece] = out
+        return out
+
+    def ids(self, text: str) -> list[int]:
+        """Special strings are plain text here."""
+        if len(self) > REMEMBERED:
+            self.clear()
+        odd = self.newer is not None and not text.isascii() and self.newer.search(text)
+        return list(itertools.chain.from_iterable(map(self.__getitem__, (self.exact if odd else self.usual).findall(text))))
+
+
 class Bytes:
     """Byte strings by number, side by side."""
 
@@ -233,15 +251,14 @@ class Worker:
     """What a task needs to encode and align texts."""
 
     def __init__(self, toks: Tokenizers):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.a, self.b = _a(toks.a_spec), _b(toks.b_model)
+        self.a, self.b = PieceIds(toks.a_spec, toks.merges), _b(toks.b_model)
         self.a_bytes, self.b_bytes = Bytes(toks.a_bytes), Bytes(toks.b_bytes)
         self.decimals = Bytes([str(i).encode() for i in range(max(len(toks.a_bytes), len(toks.b_bytes)))])
 
     def align(self, texts: pa.Array) -> Aligned:
         """Texts that are null, empty or not given back have no tokens."""
         f, plain = flat(texts), [t or "" for t in texts.to_pylist()]
-        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in plain], add_special_tokens=False)]
+        a = [self.a.ids(" " + t) for t in plain]
         b = self.b.encode(plain, num_threads=1)
         a, first_a = _laid(a)
         b, first_b = _laid(b)

@@ -42,8 +42,9 @@ STATE = "vec_id long, v array<int>, was int, near int, second int, upper double,
 def integers(vectors: DataFrame, dim: int, scale: int, column: str = "embedding") -> DataFrame:
     """(vec_id, v array<int>) of the vectors that take part: floor(scale * component)."""
     x = F.transform(F.col(column), lambda c: F.floor(c.cast("double") * F.lit(float(scale))))
-    usable = F.forall(F.col(column), lambda c: c.isNotNull() & ~F.isnan(c.cast("double"))
-                      & (F.abs(F.floor(c.cast("double") * F.lit(float(scale)))) <= LARGEST))
+    # compared before they become integers; NaN is larger than all numbers
+    usable = F.forall(F.col(column), lambda c: c.isNotNull() & (c.cast("double") * F.lit(float(scale))).between(
+        F.lit(-float(LARGEST)), F.lit(float(LARGEST))))
     return vectors.where((F.size(column) == dim) & usable).select(
         F.col("vec_id").cast("long").alias("vec_id"), x.cast("array<int>").alias("v"))
 
