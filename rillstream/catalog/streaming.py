@@ -26,6 +26,7 @@ q = CATALOG.query
 o = fx.oracle
 
 BUCKETS = 8
+SPAN = win.days(7)  # slots of time of histories and results
 STEPS = 3
 
 
@@ -217,13 +218,13 @@ SPECS = {
 
 
 def _history(spark):
-    return History(spark, scratch(spark, "history"), TXN, ["cc_num"], "ts", BUCKETS)
+    return History(spark, scratch(spark, "history"), TXN, ["cc_num"], "ts", BUCKETS, SPAN)
 
 
 def _rolling_state(spark, d):
     shape = T.StructType.fromDDL(
         "cc_num bigint, ts timestamp_ntz, event_id bigint, n_7d bigint, sum_7d decimal(38,2), gifts_3d bigint")
-    store = KeyedStore(spark, scratch(spark, "roll"), shape, ["cc_num", "ts", "event_id"], BUCKETS, ["cc_num"])
+    store = KeyedStore(spark, scratch(spark, "roll"), shape, ["cc_num", "ts", "event_id"], BUCKETS, ["cc_num"], "ts", SPAN)
     _run(spark, d, mt.RollingMaintainer(_history(spark), store, ["cc_num"], "ts", SPECS))
     return store.current()
 
@@ -246,7 +247,7 @@ def batch_stream_diff(spark, d):
    "FROM txn WINDOW w AS (PARTITION BY cc_num ORDER BY ts, event_id)"))
 def stream_lag(spark, d):
     shape = T.StructType.fromDDL("cc_num bigint, ts timestamp_ntz, event_id bigint, pts timestamp_ntz, plat double")
-    store = KeyedStore(spark, scratch(spark, "lag"), shape, ["cc_num", "ts", "event_id"], BUCKETS, ["cc_num"])
+    store = KeyedStore(spark, scratch(spark, "lag"), shape, ["cc_num", "ts", "event_id"], BUCKETS, ["cc_num"], "ts", SPAN)
     _run(spark, d, mt.LagMaintainer(
         _history(spark), store, ["cc_num"], "ts", {"pts": "ts", "plat": "shipping_lat"}, "event_id"))
     return store.current()

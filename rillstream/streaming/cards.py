@@ -15,7 +15,7 @@ from ..functions import review_priority, round3
 from ..params import AlertParams
 from ..plans.cards import LATEST, alert_aggregates, alert_specs
 from ..skew import bounded_broadcast
-from .maintain import emit
+from .maintain import emit, islands
 from .store import History, KeyedStore
 
 HORIZON = timedelta(days=45)
@@ -67,9 +67,10 @@ def roll_up(partials: DataFrame, params: AlertParams) -> DataFrame:
 class CardAlertMaintainer:
     """``fraud_alert_details`` after every batch, late rows included."""
 
-    def __init__(self, spark, root: str, txn_schema: T.StructType, cust: DataFrame, params: AlertParams, buckets=64):
+    def __init__(self, spark, root: str, txn_schema: T.StructType, cust: DataFrame, params: AlertParams, buckets=64,
+                 span: timedelta | None = timedelta(days=15)):
         self.cust, self.params = cust, params
-        self.history = History(spark, f"{root}/history", txn_schema, ["cc_num"], "ts", buckets)
+        self.history = History(spark, f"{root}/history", txn_schema, ["cc_num"], "ts", buckets, span)
         self.days = KeyedStore(spark, f"{root}/days", DAY_SCHEMA, ["cc_num", "day"], buckets, ["cc_num"])
         self.result = KeyedStore(spark, f"{root}/result", RESULT_SCHEMA, ["cc_num"], buckets)
 
@@ -79,18 +80,21 @@ class CardAlertMaintainer:
         horizon = F.make_dt_interval(days=F.lit(HORIZON.days))
         one_day = F.make_dt_interval(days=F.lit(1))
         start_of = lambda c: F.date_trunc("day", c).cast("timestamp_ntz")
-        ranges = fresh.groupBy("cc_num").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).select(
-            "cc_num", start_of("lo").alias("__lo"), (start_of("hi") + horizon + one_day).alias("__hi")).persist()
+        # stretches farther apart than this share no row and no day
+        apart = 2 * HORIZON + timedelta(days=3)
+        ranges = islands(fresh, ["cc_num"], "ts", apart, self.history.slot(F.col("ts"))).select(
+            "cc_num", start_of("__lo").alias("__lo"), (start_of("__hi") + horizon + one_day).alias("__hi")).persist()
         cached = ranges
-        buckets, n = self.history.profile(ranges)
+        pieces, n = self.history.needed(ranges, F.col("__lo") - horizon, F.col("__hi"))
+        buckets = pieces if self.history.span is None else pieces.buckets
         ranges = bounded_broadcast(ranges, n)
-        context = self.history.read(epoch, buckets).join(ranges, "cc_num").filter(
+        context = self.history.read(epoch, pieces).join(ranges, "cc_num").filter(
             (F.col("ts") >= F.col("__lo") - horizon) & (F.col("ts") < F.col("__hi")))
         home = bounded_broadcast(self.cust.join(ranges, "cc_num", "left_semi"), n)
-        rows = alert_aggregates(context, home, self.params, self.history.hot_limit(epoch, buckets))
+        rows = alert_aggregates(context, home, self.params, self.history.hot_limit(epoch, pieces))
         changed = day_partials(rows.filter(F.col("ts") >= F.col("__lo")), self.params)
         self.days.write(changed.withColumn("op", F.lit("insert")), epoch)
-        touched = ranges.select("cc_num")
+        touched = bounded_broadcast(cached.select("cc_num").distinct(), n)
         after = roll_up(self.days.current(epoch, buckets, only=touched, on=["cc_num"]), self.params)
         before = self.result.current(epoch - 1, buckets, only=touched)
         changes = emit(self.result, before, after.select(*RESULT_SCHEMA.names), epoch)

@@ -10,15 +10,17 @@ Every maintainer follows the same steps inside ``foreachBatch``:
 
 The result after any sequence of batches therefore equals one batch run over the
 same rows, late rows included, and each step's work follows the batch rather than
-the history.
+the history: tables with a ``span`` are read only in the slots of time within reach
+of the batch, a late row opening those around itself and not all since then.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..operators.changes import view_diff
 from ..operators.windows import Trailing, lag_cols, rolling
@@ -26,8 +28,18 @@ from ..skew import bounded_broadcast
 from .store import History, KeyedStore
 
 
-def _range_of(batch: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    return batch.groupBy(*keys).agg(F.min(ts).alias("__lo"), F.max(ts).alias("__hi"))
+def islands(rows: DataFrame, keys: Sequence[str], ts: str, gap: timedelta, slot) -> DataFrame:
+    """(keys, __lo, __hi): per key the stretches of time with rows, parted where more than ``gap`` is empty.
+
+    Rows without a time have a stretch of their own, with NULL ends. Rows are folded per key and slot first, so the
+    window sees a row per slot only, even of a hot key.
+    """
+    parts = rows.groupBy(*keys, slot.alias("__slot")).agg(F.min(ts).alias("__lo"), F.max(ts).alias("__hi"))
+    w = Window.partitionBy(*keys).orderBy("__lo")
+    before = F.lag("__hi").over(w)
+    starts = F.when(before.isNull() | (_shift("__lo", gap, -1) > before), 1).otherwise(0)
+    numbered = parts.withColumn("__starts", starts).withColumn("__island", F.sum("__starts").over(w))
+    return numbered.groupBy(*keys, "__island").agg(F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi")).drop("__island")
 
 
 def _shift(col: str, span: timedelta, sign: int):
@@ -54,65 +66,93 @@ class RollingMaintainer:
     def __call__(self, batch: DataFrame, epoch: int) -> DataFrame:
         self.history.write(batch, epoch)
         touched = self.history.only(epoch)
-        ranges = _range_of(touched, self.keys, self.order).persist()
-        buckets, n = self.history.profile(ranges)
+        slot = self.history.slot(F.col(self.order))
+        ranges = islands(touched, self.keys, self.order, 2 * self.horizon, slot).persist()
+        reach_lo, reach_hi = _shift("__lo", self.horizon, -1), _shift("__hi", self.horizon, 1)
+        pieces, n = self.history.needed(ranges, reach_lo, reach_hi)
         small = bounded_broadcast(ranges, n)
-        late = self.horizon  # rows up to one horizon after a late row change too
-        context = (
-            self.history.read(epoch, buckets).join(small, self.keys)
-            .filter(self._in(_shift("__lo", self.horizon, -1), _shift("__hi", late, 1)))
-        )
-        hot = self.history.hot_limit(epoch, buckets)
+        context = self.history.read(epoch, pieces).join(small, self.keys).filter(self._in(reach_lo, reach_hi))
+        hot = self.history.hot_limit(epoch, pieces)
         full = rolling(self.prepare(context), self.keys, self.order, self.specs, hot)
-        after = full.filter(self._in(F.col("__lo"), _shift("__hi", late, 1))).drop("__lo", "__hi")
-        before = self._stored(small, buckets if self.store.shares_buckets(self.history) else None, epoch)
+        # rows up to one horizon after a late row change too
+        after = full.filter(self._in(F.col("__lo"), reach_hi)).drop("__lo", "__hi")
+        before = self._stored(small, pieces if self.store.shares_buckets(self.history) else None, epoch)
         changes = emit(self.store, before, after.select(*self.store.schema.names), epoch)
         ranges.unpersist()
         return changes
 
-    def _stored(self, small: DataFrame, buckets, epoch: int) -> DataFrame:
+    def _stored(self, small: DataFrame, pieces, epoch: int) -> DataFrame:
         """Stored results in the affected ranges."""
-        rows = self.store.current(epoch - 1, buckets, only=small, on=self.keys)
+        rows = self.store.current(epoch - 1, pieces, only=small, on=self.keys)
         return rows.join(small, self.keys).filter(
             self._in(F.col("__lo"), _shift("__hi", self.horizon, 1))).drop("__lo", "__hi")
 
     def _in(self, lo, hi):
         """Rows in a range of time; those without a time are one another's peers and always belong together."""
-        return F.col(self.order).between(lo, hi) | F.col(self.order).isNull()
+        return F.col(self.order).between(lo, hi) | (F.col(self.order).isNull() & F.col("__lo").isNull())
 
 
 class LagMaintainer:
-    """Previous-row values kept current: a late row also corrects its successor."""
+    """Previous-row values kept current: a late row also corrects its successor.
+
+    The neighbours of a batch's rows may lie any time away. Where the history has slots, a small table of the (key,
+    slot) pairs that hold rows tells which slots those neighbours are in, and only these are opened. Rows without a
+    time take no part.
+    """
 
     def __init__(self, history: History, store: KeyedStore, keys, order: str, cols: dict[str, str], tie: str):
         self.history, self.store, self.keys, self.order = history, store, list(keys), order
         self.cols, self.tie = cols, tie
+        self.index = None
+        if history.span:
+            fields = [*[history.schema[k] for k in history.keys], T.StructField("slot_no", T.LongType())]
+            self.index = History(
+                history.spark, f"{history.path}-slots", T.StructType(fields), history.keys, "slot_no", history.buckets)
 
     def __call__(self, batch: DataFrame, epoch: int) -> DataFrame:
         self.history.write(batch, epoch)
-        touched = self.history.only(epoch)
-        ranges = _range_of(touched, self.keys, self.order).persist()
-        buckets, n = self.history.profile(ranges)
-        rows = self.history.read(epoch, buckets)
-        ts = F.col(self.order)
-        # One row per key: where its neighbours outside the batch's range lie.
-        near = rows.join(bounded_broadcast(ranges, n), self.keys).groupBy(*self.keys).agg(
-            F.min("__lo").alias("__lo"),
-            F.coalesce(F.max(F.when(ts < F.col("__lo"), ts)), F.min("__lo")).alias("__from"),
-            F.coalesce(F.min(F.when(ts > F.col("__hi"), ts)), F.max("__hi")).alias("__to"))
+        ts, slot = F.col(self.order), self.history.slot
+        touched = self.history.only(epoch).filter(ts.isNotNull())
+        if self.index:
+            self.index.write(touched.select(*self.keys, slot(ts).alias("slot_no")).distinct(), epoch)
+        gap = self.history.span or timedelta(0)
+        ranges = islands(touched, self.keys, self.order, gap, slot(ts)).persist()
+        pieces, n = self._pieces(ranges, epoch)
+        rows = self.history.read(epoch, pieces)
+        # Where the neighbours of each stretch lie.
+        near = rows.join(bounded_broadcast(ranges, n), self.keys).groupBy(*self.keys, "__lo", "__hi").agg(
+            F.coalesce(F.max(F.when(ts < F.col("__lo"), ts)), F.col("__lo")).alias("__from"),
+            F.coalesce(F.min(F.when(ts > F.col("__hi"), ts)), F.col("__hi")).alias("__to"))
         cached = near.persist()
         near = bounded_broadcast(cached, n)
-        context = rows.join(near, self.keys).filter(ts.between(F.col("__from"), F.col("__to")))
-        full = lag_cols(context, self.keys, self.order, self.cols, self.tie, self.history.hot_limit(epoch, buckets))
-        after = full.filter(ts.between(F.col("__lo"), F.col("__to"))).drop("__lo", "__from", "__to")
-        pruned = buckets if self.store.shares_buckets(self.history) else None
-        before = self.store.current(epoch - 1, pruned, only=near, on=self.keys).join(near, self.keys).filter(
-            ts.between(F.col("__lo"), F.col("__to"))).drop("__lo", "__from", "__to")
-        changes = emit(self.store, before, after.select(*self.store.schema.names), epoch)
+        context = self._within(rows, near, "__from")
+        full = lag_cols(context, self.keys, self.order, self.cols, self.tie, self.history.hot_limit(epoch, pieces))
+        pruned = pieces if self.store.shares_buckets(self.history) else None
+        stored = self.store.current(epoch - 1, pruned, only=near, on=self.keys)
+        changes = emit(
+            self.store, self._within(stored, near, "__lo"),
+            self._within(full, near, "__lo").select(*self.store.schema.names), epoch)
         ranges.unpersist()
         cached.unpersist()
         return changes
 
+    def _pieces(self, ranges: DataFrame, epoch: int):
+        lo, hi = F.col("__lo"), F.col("__hi")
+        if self.index is None:
+            return self.history.needed(ranges, lo, hi)
+        own, n = self.history.needed(ranges, lo, hi)
+        held, slot = self.index.read(epoch, own.buckets), F.col("slot_no")
+        known = held.join(bounded_broadcast(ranges, n), self.keys).groupBy(*self.keys, "__lo", "__hi").agg(
+            F.max(F.when(slot < self.history.slot(lo), slot)).alias("__before"),
+            F.min(F.when(slot > self.history.slot(hi), slot)).alias("__after"))
+        return self.history.needed(known, lo, hi, F.col("__before"), F.col("__after"))
+
+    def _within(self, rows: DataFrame, near: DataFrame, start: str) -> DataFrame:
+        """Rows from ``start`` to the successor of any stretch of their key, each once."""
+        named = near.select(*[F.col(k).alias(f"__near_{k}") for k in self.keys], F.col(start).alias("__a"), F.col("__to").alias("__b"))
+        same = [F.col(k) == F.col(f"__near_{k}") for k in self.keys]
+        return rows.join(named, reduce(lambda x, y: x & y, same) & F.col(self.order).between(F.col("__a"), F.col("__b")), "left_semi")
+
 
 class KeyMaintainer:
     """A per-key result kept current by recomputing the keys a batch touches.

@@ -38,17 +38,17 @@ def bag(df, cols):
     return sorted(map(str, df.select(*cols).collect()))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_rolling_and_lag_batch_equals_stream(spark, tmp_path, seed):
+@pytest.mark.parametrize(("seed", "span"), [(1, None), (2, win.days(2)), (3, win.days(30))])
+def test_rolling_and_lag_batch_equals_stream(spark, tmp_path, seed, span):
     rows, batches = shuffled_batches(seed)
     keys = ["cc_num", "ts", "event_id"]
     whole = spark.createDataFrame(rows, TXN)
     roll_shape = T.StructType.fromDDL("cc_num bigint, ts timestamp_ntz, event_id bigint, n_3d bigint, sum_9d decimal(38,2), gifts bigint")
     lag_shape = T.StructType.fromDDL("cc_num bigint, ts timestamp_ntz, event_id bigint, pid bigint")
-    roll = KeyedStore(spark, str(tmp_path / "r"), roll_shape, keys, 4, ["cc_num"])
-    lag = KeyedStore(spark, str(tmp_path / "l"), lag_shape, keys, 4, ["cc_num"])
-    roller = mt.RollingMaintainer(History(spark, str(tmp_path / "h1"), TXN, ["cc_num"], "ts", 4), roll, ["cc_num"], "ts", SPECS)
-    lagger = mt.LagMaintainer(History(spark, str(tmp_path / "h2"), TXN, ["cc_num"], "ts", 4), lag, ["cc_num"], "ts", {"pid": "event_id"}, "event_id")
+    roll = KeyedStore(spark, str(tmp_path / "r"), roll_shape, keys, 4, ["cc_num"], "ts", span)
+    lag = KeyedStore(spark, str(tmp_path / "l"), lag_shape, keys, 4, ["cc_num"], "ts", span)
+    roller = mt.RollingMaintainer(History(spark, str(tmp_path / "h1"), TXN, ["cc_num"], "ts", 4, span), roll, ["cc_num"], "ts", SPECS)
+    lagger = mt.LagMaintainer(History(spark, str(tmp_path / "h2"), TXN, ["cc_num"], "ts", 4, span), lag, ["cc_num"], "ts", {"pid": "event_id"}, "event_id")
     for epoch, batch in enumerate(batches):
         df = spark.createDataFrame(batch, TXN)
         roller(df, epoch)
@@ -63,6 +63,70 @@ def test_rolling_and_lag_batch_equals_stream(spark, tmp_path, seed):
     assert mt.batch_stream_diff(full.select(*lag_shape.names), lag.current(), keys).isEmpty()
 
 
+def files_in(df):
+    return {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
+
+
+def test_step_reads_only_slots_within_reach(spark, tmp_path):
+    """A step's files lie within one horizon of its rows, however long the history; a late row opens its own surroundings."""
+    span, day = win.days(5), win.days(1)
+    history = History(spark, str(tmp_path / "h"), TXN, ["cc_num"], "ts", 2, span)
+    shape = T.StructType.fromDDL("cc_num bigint, ts timestamp_ntz, event_id bigint, n_3d bigint, sum_9d decimal(38,2), gifts bigint")
+    store = KeyedStore(spark, str(tmp_path / "s"), shape, ["cc_num", "ts", "event_id"], 2, ["cc_num"], "ts", span)
+    m = mt.RollingMaintainer(history, store, ["cc_num"], "ts", SPECS)
+    rows = [txn_row(i, i % 3, at("2023-01-01") + day * (i % 400)) for i in range(800)]
+    m(spark.createDataFrame(rows, TXN), 0)
+    late = [txn_row(900, 1, at("2024-02-05")), txn_row(901, 1, at("2023-03-01"))]
+    batch = spark.createDataFrame(late, TXN)
+    seen = []
+    read = history.read
+    history.read = lambda upto, pieces: seen.append(pieces) or read(upto, pieces)
+    m(batch, 1)
+    opened = read(1, seen[0])
+    assert len(files_in(opened)) <= 12 < len(files_in(read(1))) / 5
+    assert "PartitionFilters" in (plan := opened._jdf.queryExecution().toString()) and "slot" in plan.split("PartitionFilters")[1]
+    ages = {(r.ts - at("2023-03-01")).days if r.ts < at("2023-08-01") else (r.ts - at("2024-02-05")).days for r in opened.collect()}
+    assert min(ages) >= -9 - 5 and max(ages) <= 9 + 5
+    assert bag(store.current(), shape.names) == bag(win.rolling(spark.createDataFrame(rows + late, TXN), ["cc_num"], "ts", SPECS), shape.names)
+
+
+def test_rows_without_a_time_and_far_apart_batches(spark, tmp_path):
+    """Slots, stretches and rows without a time together: results equal one batch run."""
+    span = win.days(3)
+    shape = T.StructType.fromDDL("cc_num bigint, ts timestamp_ntz, event_id bigint, n_3d bigint, sum_9d decimal(38,2), gifts bigint")
+    store = KeyedStore(spark, str(tmp_path / "s"), shape, ["cc_num", "ts", "event_id"], 2, ["cc_num"], "ts", span)
+    m = mt.RollingMaintainer(History(spark, str(tmp_path / "h"), TXN, ["cc_num"], "ts", 2, span), store, ["cc_num"], "ts", SPECS)
+    rnd, rows = random.Random(11), []
+    for epoch in range(3):
+        batch = [txn_row(100 * epoch + i, rnd.randrange(2), rnd.choice(
+            [None, at("1969-12-25") + timedelta(hours=rnd.randrange(300)), at("2024-01-01") + timedelta(days=rnd.randrange(200))]))
+            for i in range(25)]
+        rows += batch
+        m(spark.createDataFrame(batch, TXN), epoch)
+    want = win.rolling(spark.createDataFrame(rows, TXN), ["cc_num"], "ts", SPECS)
+    assert bag(store.current(), shape.names) == bag(want, shape.names)
+
+
+def test_lag_finds_far_neighbours_through_the_slot_table(spark, tmp_path):
+    span = win.days(2)
+    shape = T.StructType.fromDDL("cc_num bigint, ts timestamp_ntz, event_id bigint, pid bigint")
+    history = History(spark, str(tmp_path / "h"), TXN, ["cc_num"], "ts", 2, span)
+    store = KeyedStore(spark, str(tmp_path / "s"), shape, ["cc_num", "ts", "event_id"], 2, ["cc_num"], "ts", span)
+    m = mt.LagMaintainer(history, store, ["cc_num"], "ts", {"pid": "event_id"}, "event_id")
+    other = [txn_row(50 + i, 2, at("2023-01-01") + timedelta(days=i)) for i in range(300)]
+    steps = [[txn_row(1, 1, "2023-01-01"), txn_row(2, 1, "2024-01-01"), *other], [txn_row(3, 1, "2023-06-01"), txn_row(4, 1, "2023-06-01")],
+             [txn_row(5, 1, "2022-01-01"), txn_row(6, 1, "2024-06-01"), txn_row(7, 1, "2023-05-31 23:00:00")]]
+    seen = []
+    read = history.read
+    history.read = lambda upto, pieces: seen.append((upto, pieces)) or read(upto, pieces)
+    for epoch, rows in enumerate(steps):
+        m(spark.createDataFrame(rows, TXN), epoch)
+    whole = spark.createDataFrame([r for rows in steps for r in rows], TXN)
+    assert bag(store.current(), shape.names) == bag(win.lag_cols(whole, ["cc_num"], "ts", {"pid": "event_id"}, "event_id"), shape.names)
+    upto, pieces = next(x for x in seen if x[0] == 1)
+    assert len(files_in(read(upto, pieces))) <= 8 < len(files_in(read(upto))) / 5
+
+
 def test_late_row_corrects_later_rows(spark, tmp_path):
     shape = T.StructType.fromDDL("cc_num bigint, ts timestamp_ntz, event_id bigint, n bigint")
     store = KeyedStore(spark, str(tmp_path / "s"), shape, ["cc_num", "ts", "event_id"], 4, ["cc_num"])
