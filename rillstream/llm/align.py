@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,6 +92,9 @@ class PieceIds(Counter):
     def __init__(self, spec: str, merges: Merges):
         super().__init__(merges)
         self.model, self.letters = _a(spec).model, byte_letters()
+        # no text below this character needs the exact pattern
+        self.first_newer = chr(int(merges.newer[2:10], 16)) if merges.newer else "\U0010FFFF"
+        self.newer = self.newer or regex.compile("(?!)")
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
         letters = self.letters
@@ -103,7 +107,7 @@ class PieceIds(Counter):
         """Special strings are plain text here."""
         if len(self) > REMEMBERED:
             self.clear()
-        odd = self.newer is not None and not text.isascii() and self.newer.search(text)
+        odd = not text.isascii() and max(text) >= self.first_newer and self.newer.search(text)
         return list(itertools.chain.from_iterable(map(self.__getitem__, (self.exact if odd else self.usual).findall(text))))
 
 
@@ -236,10 +240,11 @@ class Aligned:
 
 def _overlaps(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Token numbers of all overlapping pairs: each stretch between neighbouring ends of either side is one."""
-    ends = np.concatenate([ends_a, ends_b])
-    ends.sort(kind="stable")  # two sorted runs: a merge
-    ends = ends[np.append(ends[1:] != ends[:-1], True)] if len(ends) else ends
-    return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+    size = int(ends_a[-1]) + 1 if len(ends_a) else 0
+    in_a, in_b = np.zeros(size, bool), np.zeros(size, bool)
+    in_a[ends_a], in_b[ends_b] = True, True
+    ends = np.flatnonzero(in_a | in_b)
+    return tuple(np.cumsum(own[ends]) - own[ends] for own in (in_a, in_b))
 
 
 def _link_first(first_a, first_b, group_first) -> np.ndarray:
