@@ -36,15 +36,19 @@ def _arrivals(spark, d, rows=fx.txn):
     return rows(spark, d).withColumn("arrival", F.col("ts") + delay)
 
 
-def _steps(spark, d, rows=fx.txn):
-    """(history, batches) of the arrivals: half preloaded, the rest in STEPS batches."""
+def _stored_steps(spark, d, rows=fx.txn):
+    """The arrivals as a stored replay: half preloaded, the rest in STEPS steps."""
     rows = _arrivals(spark, d, rows)
     n = rows.count()
     split = files.split_replay(rows, "arrival", ["event_id"], n // 2, batch_rows=-(-(n - n // 2) // STEPS))
     path = scratch(spark, "replay")
     files.write_replay(split, path, "arrival")
-    schema = T.StructType([*TXN.fields, T.StructField("arrival", T.TimestampNTZType())])
-    return files.replay_steps(spark, path, schema)
+    return path, T.StructType([*TXN.fields, T.StructField("arrival", T.TimestampNTZType())])
+
+
+def _steps(spark, d, rows=fx.txn):
+    """(history, batches) of the stored replay."""
+    return files.replay_steps(spark, *_stored_steps(spark, d, rows))
 
 
 def _run(spark, d, maintainer, rows=fx.txn):
@@ -95,8 +99,8 @@ def replay_stream(spark, d):
     split = files.split_replay(rows, "arrival", ["event_id"], n // 2, batch_rows=max(1, n // 8))
     path, landing, out = (scratch(spark, x) for x in ("replay", "landing", "replayed"))
     files.write_replay(split.drop("arrival"), path, "ts")
-    history, stream = files.replay(spark, path, landing, TXN)
-    st.run_to_table(stream, out, scratch(spark, "cp"))
+    history, run = files.replay(spark, path, landing, TXN)
+    run(lambda step_rows, step: step_rows.write.mode("overwrite").parquet(f"{out}/step={step}"), scratch(spark, "cp"))
     both = history.unionByName(spark.read.schema(TXN).parquet(out))
     return both.select("event_id", "cc_num", "ts", "category", F.col("amt").cast("double").alias("amt"))
 
@@ -155,10 +159,10 @@ WHERE NOT u.is_banned AND u.id % 5 <> 0 AND NOT (m.user_id % 7 = 0 AND m.group_i
 def stream_changing_join(spark, d):
     """Memberships joined to active users while users get banned and memberships end."""
     members, users = fx.members(spark, d), fx.users(spark, d).withColumnRenamed("id", "user_id")
-    left = KeyedStore(spark, scratch(spark, "m"), members.schema, ["user_id", "group_id"], BUCKETS)
+    left = KeyedStore(spark, scratch(spark, "m"), members.schema, ["user_id", "group_id"], BUCKETS, ["user_id"])
     right = KeyedStore(spark, scratch(spark, "u"), users.schema, ["user_id"], BUCKETS)
     shape = T.StructType.fromDDL("user_id bigint, group_id bigint, name string")
-    view = KeyedStore(spark, scratch(spark, "v"), shape, ["user_id", "group_id"], BUCKETS)
+    view = KeyedStore(spark, scratch(spark, "v"), shape, ["user_id", "group_id"], BUCKETS, ["user_id"])
     join = mt.JoinMaintainer(
         left, right, view, "user_id",
         lambda m, u: m.join(u.filter(~F.col("is_banned")), "user_id").select("user_id", "group_id", "name"))
@@ -192,15 +196,12 @@ mx AS (SELECT step, max(max(ts)) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PREC
 @q("late_row_policy", o("txn", _LATE + "SELECT event_id, coalesce(ts < seen - INTERVAL 1 DAY, false) AS late FROM b JOIN mx USING (step)"))
 def late_row_policy(spark, d):
     """Rows more than a day behind the newest time of earlier batches go to the side output."""
-    history, batches = _steps(spark, d)
-    kept_dir, late_dir = scratch(spark, "kept"), scratch(spark, "late")
-    seen = None
-    for batch in [history, *[b for _, b in batches]]:
-        kept, late, seen = st.late_rows(batch, "ts", seen, "1 DAY")
-        kept.select("event_id").write.mode("append").parquet(kept_dir)
-        late.select("event_id").write.mode("append").parquet(late_dir)
-    read = lambda path, flag: spark.read.schema("event_id bigint").parquet(path).withColumn("late", F.lit(flag))
-    return read(kept_dir, False).unionByName(read(late_dir, True))
+    path, schema = _stored_steps(spark, d)
+    history, run = files.replay(spark, path, scratch(spark, "landing"), schema)
+    split = st.LateSplitter(spark, scratch(spark, "late"), "ts", "1 DAY")
+    split(history, 0)
+    run(lambda batch, step: split(batch, step + 1), scratch(spark, "cp"))
+    return split.rows(schema).select("event_id", "late")
 
 
 _ROLL_SQL = """

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql.streaming.query import StreamingQuery
 
 from ..functions.dates import micros
 
@@ -131,14 +132,28 @@ def replay_steps(
 
 def replay(
     spark: SparkSession, path: str, landing: str, schema: T.StructType, preload: int = 0, steps: int | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(history, stream): batches land one after the other and are read file by file.
+) -> tuple[DataFrame, Callable[[Callable[[DataFrame, int], object], str], StreamingQuery]]:
+    """(history, run): ``run(fn, checkpoint)`` streams the stored steps, one trigger each, to ``fn(rows, step)``.
 
-    The file source takes files by modification time, so landing the batches in
-    turn fixes their order.
+    A marker file per step drives the stream, and epoch n reads the n-th step from its directory: a step is exactly
+    one epoch however many files it has, and their order does not rest on file times. After a failure the stream goes
+    on with the step that did not finish.
     """
-    history, batches = replay_steps(spark, path, schema, preload, steps)
-    for _, batch in batches:
-        batch.write.mode("append").parquet(landing)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
-    return history, stream
+    stored = _stored(spark, path, schema)
+    history = stored.filter(F.col("batch_id") < preload).drop("batch_id")
+    last = stored.agg(F.max("batch_id")).first()[0]
+    end = last + 1 if steps is None else min(last + 1, preload + steps)
+    marks = spark.range(preload, max(end, preload)).select(F.col("id").alias("step"), F.lit(1).alias("one"))
+    marks.repartition("step").write.mode("overwrite").partitionBy("step").parquet(landing)
+
+    def run(fn: Callable[[DataFrame, int], object], checkpoint: str) -> StreamingQuery:
+        def each(_, epoch: int) -> None:
+            step = preload + epoch
+            fn(stored.filter(F.col("batch_id") == step).drop("batch_id"), step)
+
+        stream = spark.readStream.schema("one int, step bigint").option("maxFilesPerTrigger", 1).parquet(landing)
+        query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+        return query
+
+    return history, run

@@ -193,7 +193,8 @@ class JoinMaintainer:
 
     Both sides are upsert tables. Join keys touched by either changelog, in their
     old or new rows, are recomputed; the view's difference is emitted, so rows
-    that lose their partner are deleted.
+    that lose their partner are deleted. A side placed by the join key is read
+    only in the buckets of the touched keys.
     """
 
     def __init__(
@@ -206,17 +207,21 @@ class JoinMaintainer:
         self.left.write(left_changes, epoch)
         self.right.write(right_changes, epoch)
         touched = self._touched(self.left, epoch).unionByName(self._touched(self.right, epoch)).distinct()
+        touched = touched.persist()
         small = bounded_broadcast(touched, touched.count())
-        side = lambda store, upto: store.current(upto).join(small, self.on, "left_semi")
+        pruned = {id(s): s.buckets_of(touched) if s.bucket_by == [self.on] else None for s in (self.left, self.right)}
+        side = lambda store, upto: store.current(upto, pruned[id(store)]).join(small, self.on, "left_semi")
         before = self.compute(side(self.left, epoch - 1), side(self.right, epoch - 1))
         after = self.compute(side(self.left, epoch), side(self.right, epoch))
         names = self.view.schema.names
-        return emit(self.view, before.select(*names), after.select(*names), epoch)
+        changes = emit(self.view, before.select(*names), after.select(*names), epoch)
+        touched.unpersist()
+        return changes
 
     def _touched(self, store: KeyedStore, epoch: int) -> DataFrame:
         changed = store.changes(epoch)
         new = changed.filter(F.col("op") != "delete").select(self.on)
-        old = store.current(epoch - 1, only=changed, on=store.keys).select(self.on)
+        old = store.current(epoch - 1, store.buckets_of(changed), only=changed, on=store.keys).select(self.on)
         return new.unionByName(old)
 
 

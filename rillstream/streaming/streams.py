@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
@@ -39,6 +40,44 @@ def late_rows(batch: DataFrame, ts: str, max_seen, bound: str) -> tuple[DataFram
     return batch.filter(~too_old), batch.filter(too_old), best
 
 
+class LateSplitter:
+    """Lateness with a side output, as a step of a stream that may be stopped at any time.
+
+    The newest time seen is kept in a table, a row per epoch. An epoch compares its rows with the row of the one
+    before, and writes its kept rows, late rows and newest time under its own number: a retried epoch sees the same
+    newest time as at first and replaces whatever it had written.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, ts: str, bound: str):
+        self.spark, self.root, self.ts, self.bound = spark, root, ts, bound
+
+    def __call__(self, batch: DataFrame, epoch: int) -> None:
+        kept, late, newest = late_rows(batch, self.ts, self._seen(epoch - 1, batch.schema[self.ts].dataType), self.bound)
+        self._write(kept, "kept", epoch)
+        self._write(late, "late", epoch)
+        row = self.spark.createDataFrame([(newest,)], T.StructType([T.StructField("newest", batch.schema[self.ts].dataType)]))
+        self._write(row, "newest", epoch)
+
+    def _write(self, rows: DataFrame, part: str, epoch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.root}/{part}/epoch={epoch}")
+
+    def _seen(self, epoch: int, kind: T.DataType):
+        try:
+            return self.spark.read.schema(T.StructType([T.StructField("newest", kind)])).parquet(
+                f"{self.root}/newest/epoch={epoch}").first()[0]
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None  # the first epoch
+
+    def rows(self, schema: T.StructType) -> DataFrame:
+        """All rows so far, with ``late``."""
+        full = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
+        read = lambda part, flag: self.spark.read.schema(full).parquet(f"{self.root}/{part}").drop("epoch").withColumn(
+            "late", F.lit(flag))
+        return read("kept", False).unionByName(read("late", True))
+
+
 def stream_hop(stream: DataFrame, key: str, ts: str, value: str, size: str, slide: str) -> DataFrame:
     """Hopping-window average, deviation and count; the stream carries a watermark on ``ts``."""
     stats = stream.groupBy(key, F.window(ts, size, slide).alias("w")).agg(
