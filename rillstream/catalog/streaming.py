@@ -101,7 +101,7 @@ def replay_stream(spark, d):
     files.write_replay(split.drop("arrival"), path, "ts")
     history, run = files.replay(spark, path, landing, TXN)
     run(lambda step_rows, step: step_rows.write.mode("overwrite").parquet(f"{out}/step={step}"), scratch(spark, "cp"))
-    both = history.unionByName(spark.read.schema(TXN).parquet(out))
+    both = history.unionByName(spark.read.schema(TXN).parquet(out).select(*TXN.names))
     return both.select("event_id", "cc_num", "ts", "category", F.col("amt").cast("double").alias("amt"))
 
 

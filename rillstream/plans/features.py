@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import age_years, date_part, days_until, flag, parse_expiry
+from ..functions.dates import micros
 from ..operators.relational import latest, percentiles, running_total
-from ..operators.windows import Trailing, hop, rolling
+from ..operators.windows import Trailing, rolling
 from ..params import DAY
 from ..skew import HOT_ROWS
 
@@ -65,19 +67,50 @@ def windowed(
 ) -> DataFrame:
     """Hopping-window spend statistics, one row per event and covering window.
 
-    The statistics are joined back to the events of their window instead of
-    being carried in an array, so no group is collected into one row.
+    Events are folded once into panes, the tumbling stretches of one slide. A pane's covering windows are sums of
+    neighbouring panes, so they come from range frames over the panes of a key (a row per pane, even for a hot key), and
+    events are joined to their pane once. Nothing is multiplied before a shuffle: the row per window appears last.
+    Deviations are merged from those of the panes about the common mean, which does not cancel.
+    ``size`` must be a multiple of ``slide``. Events without a time or a key have no window.
     """
-    rows = hop(txn.select(key, ts, value), ts, size, slide).drop("window_end")
-    group = [key, "window_start"]
-    stats = rows.groupBy(*group).agg(
-        (F.sum(value).cast("double") / F.count(value)).alias("avg_amt"),
-        F.count(key).alias("trans"),
-        F.coalesce(F.stddev_samp(F.col(value).cast("double")), F.lit(0.0)).alias("stddev_amt"),
-    )
+    step, reach = (pd.Timedelta(x).value // 1000 for x in (slide, size))
+    if reach % step:
+        raise ValueError("the window size must be a multiple of the slide")
+    n_panes = reach // step
+    rows = txn.filter(F.col(key).isNotNull()).withColumn("__w", F.window(ts, slide)).select(
+        key, ts, F.col(value).alias("__value"), F.col("__w.start").alias("__pane"))
+    n, x = F.count("__value"), F.col("__value").cast("double")
+    panes = rows.groupBy(key, "__pane").agg(
+        F.count(key).alias("__trans"), n.alias("__n"), F.sum("__value").alias("__sum"),
+        F.coalesce(F.var_pop(x) * n, F.lit(0.0)).alias("__m2"))
+    order = Window.partitionBy(key).orderBy(micros("__pane"))
+    sums, stats = {}, []
+    for back in range(n_panes):  # the window that starts ``back`` panes before this one
+        frame = order.rangeBetween(-back * step, (n_panes - 1 - back) * step)
+        for c in ("__trans", "__n", "__sum"):
+            sums[f"{c}{back}"] = F.sum(c).over(frame)
+        sums[f"__parts{back}"] = F.collect_list(F.struct("__n", "__sum", "__m2")).over(frame)  # n_panes at most
+        stats.append(F.struct(
+            (F.col("__pane") - F.make_dt_interval(secs=F.lit(back * step / 1e6))).alias("window_start"),
+            _mean(F.col(f"__sum{back}"), F.col(f"__n{back}")).alias("avg_amt"), F.col(f"__trans{back}").alias("trans"),
+            _deviation(F.col(f"__parts{back}"), F.col(f"__sum{back}"), F.col(f"__n{back}")).alias("stddev_amt")))
+    windows = panes.withColumns(sums).select(key, "__pane", F.array(*stats).alias("__windows"))
     kept = ["window_start"] if keep_window else []
-    return rows.select(*group, ts).join(stats, group).select(
-        "avg_amt", "trans", "stddev_amt", ts, key, *kept)
+    joined = rows.select(key, ts, "__pane").join(windows, [key, "__pane"])
+    return joined.select(key, ts, F.explode("__windows").alias("__w")).select(
+        "__w.avg_amt", "__w.trans", "__w.stddev_amt", ts, key, *[f"__w.{c}" for c in kept])
+
+
+def _mean(total: Column, n: Column) -> Column:
+    return F.when(n > 0, total.cast("double") / n)
+
+
+def _deviation(parts: Column, total: Column, n: Column) -> Column:
+    """Sample deviation of merged groups (n, sum, squares about their own mean); 0 for fewer than two values."""
+    mean = _mean(total, n)
+    squares = F.aggregate(parts, F.lit(0.0), lambda acc, p: acc + p["__m2"] + F.when(
+        p["__n"] > 0, p["__n"] * F.pow(p["__sum"].cast("double") / p["__n"] - mean, F.lit(2.0))).otherwise(F.lit(0.0)))
+    return F.when(n > 1, F.sqrt(squares / (n - 1))).otherwise(F.lit(0.0))
 
 
 def encode_category(df: DataFrame, col: str, out: str | None = None) -> DataFrame:

@@ -5,6 +5,8 @@ from datetime import timedelta
 from decimal import Decimal
 
 import brute
+import numpy as np
+import pandas as pd
 import pytest
 from brute import TXN_DDL, at, txn_row
 from hypothesis import HealthCheck, given, settings
@@ -141,6 +143,43 @@ def test_hop_edge_and_single_row(spark):
     assert all(r.stddev_amt == 0.0 and r.trans == 1 and r.avg_amt == 3.0 for r in rows)
 
 
+@pytest.mark.parametrize(("size", "slide", "k"), [("4 hours", "1 hour", 4), ("90 minutes", "30 minutes", 3), ("1 day", "1 day", 1)])
+def test_panes_equal_every_window_by_itself(spark, size, slide, k):
+    """Equal and missing amounts, gaps, repeated events, events without a time or key."""
+    from rillstream.plans.features import windowed
+
+    rnd = random.Random(k)
+    start = at("2024-02-28 22:00:00")
+    rows = [(rnd.choice(["a", "b"]), start + timedelta(minutes=rnd.randrange(3000)), rnd.choice([None, Decimal("7.10"), Decimal("123456.78")]))
+            for _ in range(120)]
+    rows += rows[:5] + [("c", start, None), ("c", start + timedelta(hours=9), Decimal("0.10")), (None, start, Decimal(1)), ("a", None, Decimal(1))]
+    df = spark.createDataFrame(rows, "cc_num string, date_time timestamp_ntz, amount decimal(38,2)")
+    got = sorted((r.cc_num, r.date_time, r.window_start, r.trans, r.avg_amt, r.stddev_amt) for r in
+                 windowed(df, size, slide, keep_window=True).withColumns(
+                     {"avg_amt": F.coalesce("avg_amt", F.lit(-1.0))}).collect())
+    step, reach, zero, want = pd.Timedelta(slide), pd.Timedelta(size), at("1970-01-01"), []
+    for key, t, _ in rows:
+        if key is None or t is None:
+            continue
+        last = zero + ((t - zero) // step) * step
+        for w in (last - j * step for j in range(k)):
+            inside = [v for c, u, v in rows if c == key and u is not None and w <= u < w + reach]
+            values = [float(v) for v in inside if v is not None]
+            want.append((key, t, w, len(inside), np.mean(values) if values else -1.0, np.std(values, ddof=1) if len(values) > 1 else 0.0))
+    want.sort()
+    assert [g[:4] for g in got] == [tuple(x[:4]) for x in want]
+    assert np.allclose([g[4:] for g in got], [x[4:] for x in want], rtol=1e-12, atol=1e-9)
+
+
+def test_window_stats_multiply_rows_only_after_the_last_shuffle(spark):
+    from rillstream.plans.features import windowed
+
+    df = spark.createDataFrame([("a", at("2024-01-01"), Decimal(1))], "cc_num string, date_time timestamp_ntz, amount decimal(38,2)")
+    plan = windowed(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate ") == 1 and "Expand" not in plan
+    assert plan.index("Generate ") < plan.index("Exchange") and plan.count("Sort [") <= 4
+
+
 def test_distinct_sketch_error(spark):
     from rillstream.operators.relational import count_distinct, estimate, sketch
 
