@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.dates import micros
-from ..skew import HOT_ROWS, SLICE_COL, HotSplit, split_hot
+from ..skew import HOT_ROWS, SLICE_COL, HotSplit, equi_depth, split_hot
 
 EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.BooleanType)
 
@@ -182,7 +182,10 @@ def rolling_plain(df, keys, order, specs, parts: HotSplit | None = None) -> Data
 
 
 def rolling_sliced(df: DataFrame, keys: Sequence[str], order: str, specs: dict[str, Trailing]) -> DataFrame:
-    """The hot-key plan. ``df`` carries the slice width of its key in SLICE_COL."""
+    """The hot-key plan. ``df`` carries the number of slices of its key in SLICE_COL.
+
+    Slices hold about equally many arrivals and expiries, as both count in their bounds.
+    """
     keys = list(keys)
     columns = [c for c in df.columns if c != SLICE_COL]
     accs = [(name, k, c) for name, spec in specs.items() for k, c in spec.inputs().items()]
@@ -220,9 +223,10 @@ def rolling_sliced(df: DataFrame, keys: Sequence[str], order: str, specs: dict[s
         )
         for h in horizons
     ]
-    events = typed.select(*keys, SLICE_COL, F.inline(F.array(arrival, *expiries))).withColumn(
-        "__slice", F.floor(F.col("__t") / F.col(SLICE_COL))
-    )
+    events = typed.select(*keys, SLICE_COL, F.inline(F.array(arrival, *expiries)))
+    points = typed.select(*keys, SLICE_COL, F.explode(F.array(
+        F.col("__at"), *[F.col("__at") + F.lit(h) for h in horizons])).alias("__t"))
+    events = equi_depth(events, keys, "__t", points)
 
     totals = events.groupBy(*keys, "__slice").agg(
         *[F.sum(a).alias(f"__tot{a}") for a in acc_names]
@@ -314,9 +318,7 @@ def lag_sliced(df: DataFrame, keys, order, cols: dict[str, str], tie: str, keep_
     """Previous-row lookup for hot keys: within a slice, else the last row before it."""
     keys = list(keys)
     out_cols = [c for c in df.columns if keep_slice or c != SLICE_COL]
-    rows = df.withColumn("__at", time_axis(df, order)).withColumn(
-        "__slice", F.floor(F.col("__at") / F.col(SLICE_COL))
-    )
+    rows = equi_depth(df.withColumn("__at", time_axis(df, order)), keys, "__at")
     payload = F.struct(*[F.col(old).alias(new) for new, old in cols.items()])
     last = rows.groupBy(*keys, "__slice").agg(
         F.max_by(payload, F.struct("__at", tie)).alias("__last")

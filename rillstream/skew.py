@@ -20,8 +20,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 # Rows per key above which the time-sliced plan is used: about what one task
 # sorts and scans in a few seconds.
 HOT_ROWS = 2_000_000
-# Average rows aimed at per (key, slice) of a hot key.
+# Rows aimed at per (key, slice) of a hot key.
 SLICE_ROWS = 200_000
+# Most slices of a key; the quantiles that bound them are off by a tenth of such a slice at most.
+MAX_SLICES = 1024
 # A key table with at most this many rows (about 40 bytes each) is broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -29,14 +31,14 @@ BROADCAST_ROWS = 500_000
 @dataclass(frozen=True)
 class HotSplit:
     cold: DataFrame
-    hot: DataFrame | None  # hot rows, with the slice width of their key in SLICE_COL
+    hot: DataFrame | None  # hot rows, with the number of slices of their key in SLICE_COL
     keys: DataFrame | None  # one row per hot key
     n_keys: int
     limit: int | None = None  # no cold key has more rows; None when unchecked
     peak: Decimal | None = None  # largest absolute value of the checked columns
 
 
-SLICE_COL = "__slice_us"  # microseconds, or units of a numeric axis
+SLICE_COL = "__slices"
 
 
 def bounded_broadcast(df: DataFrame, n_rows: int) -> DataFrame:
@@ -45,19 +47,41 @@ def bounded_broadcast(df: DataFrame, n_rows: int) -> DataFrame:
 
 
 def key_stats(df: DataFrame, keys: Sequence[str], at: Column, values: Sequence[Column]) -> DataFrame:
-    """Rows, time span and largest absolute value per key."""
+    """Rows, rows with a time and largest absolute value per key."""
     peaks = [F.max(F.abs(v)).alias(f"__peak{i}") for i, v in enumerate(values)]
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(at).alias("__lo"), F.max(at).alias("__hi"), *peaks)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.count(at).alias("__timed"), *peaks)
 
 
 def hot_keys(stats: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
-    """Keys with more than ``limit`` rows and the slice width fitting their density."""
-    span = F.col("__hi") - F.col("__lo") + F.lit(1)
-    width = F.floor(span * F.lit(SLICE_ROWS) / F.col("__n"))
+    """Keys with more than ``limit`` rows and into how many slices their rows go."""
+    slices = F.least(F.ceil(F.col("__timed") / F.lit(SLICE_ROWS)), F.lit(MAX_SLICES))
     return stats.filter(F.col("__n") > F.lit(limit)).select(
-        *keys, F.coalesce(F.greatest(width, F.lit(1)), F.lit(1)).cast("bigint").alias(SLICE_COL)
-    )
+        *keys, F.greatest(slices, F.lit(1)).cast("int").alias(SLICE_COL))
+
+
+def position(bounds: Column, value: Column, most: int) -> Column:
+    """How many of the ascending ``bounds``, ``most`` at the utmost, are at or below ``value``: a binary search."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(most.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda pos, step: F.when(
+        F.get(bounds, pos + step - F.lit(1)) <= value, pos + step).otherwise(pos))
+
+
+def equi_depth(rows: DataFrame, keys: Sequence[str], at: str, points: DataFrame | None = None) -> DataFrame:
+    """Add ``__slice``: the place of ``at`` between approximate quantiles of its key, so a burst of different times
+    is cut as finely as it is dense. Equal times share a slice; rows without a time are in the first.
+
+    ``rows`` are those of hot keys with SLICE_COL. ``points`` (keys, SLICE_COL, ``at``) are what the quantiles
+    are taken of, if not the rows. A key's quantiles are one row, folded from sketches of all tasks, and grow with its
+    number of slices; without a size to go by the join is left to AQE, which also splits a hot key.
+    """
+    grid = F.percentile_approx(at, [k / MAX_SLICES for k in range(1, MAX_SLICES)], F.lit(10 * MAX_SLICES))
+    found = (points or rows).groupBy(*keys).agg(grid.alias("__grid"), F.max(SLICE_COL).alias("__parts"))
+    every = F.greatest(F.lit(1), F.floor(F.lit(MAX_SLICES) / F.col("__parts"))).cast("int")
+    kept = F.array_distinct(F.filter("__grid", lambda _, i: (i + 1) % every == 0))
+    bounds = found.select(*[F.col(k).alias(f"__of_{k}") for k in keys], kept.alias("__bounds"))
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys])
+    return rows.join(bounds, same).select(
+        *rows.columns, position(F.col("__bounds"), F.col(at), MAX_SLICES).alias("__slice"))
 
 
 def split_hot(

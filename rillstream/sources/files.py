@@ -7,11 +7,13 @@ from collections.abc import Callable, Iterator, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ..functions.dates import micros
+from ..skew import position
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
-# Average rows per slice when numbering all rows of a table.
+# Rows aimed at per slice when numbering all rows of a table, most slices, and sampled positions per slice.
 NUMBERING_ROWS = 1_000_000
+NUMBERING_SLICES = 8192
+SAMPLED = 64
 
 
 def read_csv(
@@ -42,13 +44,14 @@ def clean_nulls(raw: DataFrame, schema: T.StructType, null_policy: str, drop_nul
 def global_row_number(df: DataFrame, ts: str, tie: Sequence[str], name: str = "rn") -> DataFrame:
     """0-based position in (ts, tie) order without a single-task sort.
 
-    Time is cut into slices of about NUMBERING_ROWS rows. Slice counts give each
-    slice its offset; rows are numbered inside their slice only.
+    Rows are cut into slices of about NUMBERING_ROWS rows, equally deep however times bunch, since the bounds are
+    (ts, tie) positions: many rows of one time fall into several slices. Slice counts give each slice its offset;
+    rows are numbered inside their slice only.
     """
-    at = micros(ts)
-    n, lo, hi = df.agg(F.count(F.lit(1)), F.min(at), F.max(at)).first()
-    width = max(1, int(((hi or 0) - (lo or 0) + 1) * NUMBERING_ROWS / max(n, 1)))
-    rows = df.withColumn("__slice", F.floor(at / F.lit(width)))
+    bounds = _bounds(df, [ts, *tie])
+    at = F.struct(ts, *tie)
+    rows = df.crossJoin(F.broadcast(bounds)).select(  # one row
+        *df.columns, position(F.col("__bounds"), at, NUMBERING_SLICES).alias("__slice"))
     counts = rows.groupBy("__slice").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__slice",
@@ -59,11 +62,30 @@ def global_row_number(df: DataFrame, ts: str, tie: Sequence[str], name: str = "r
     inside = Window.partitionBy("__slice").orderBy(ts, *tie)
     return (
         rows.withColumn("__rn", F.row_number().over(inside))
-        .join(offsets, rows["__slice"].eqNullSafe(offsets["__slice"]))
+        .join(offsets, "__slice")
         .select(*df.columns, (F.col("__off") + F.col("__rn") - 1).alias(name))
     )
 
 
+def _bounds(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """One row: the ascending positions that cut ``df`` into slices of about equal depth.
+
+    They are every SAMPLED-th of a sample of distinct positions, picked by hash, so each run finds the same. The sample
+    has about SAMPLED * NUMBERING_SLICES positions at most, whatever the table's size.
+    """
+    spark, key = df.sparkSession, df.select(*order)
+    n, places = key.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(*order))).first()
+    slices = min(NUMBERING_SLICES, -(-n // NUMBERING_ROWS))
+    sample = []
+    if slices > 1:
+        share = min(1.0, SAMPLED * slices / max(places, 1))
+        drawn = F.pmod(F.xxhash64(*order), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
+        sample = [tuple(r) for r in key.filter(drawn).distinct().orderBy(*order).collect()]
+    step = max(1, -(-len(sample) // max(slices, 1)))
+    kind = T.ArrayType(key.select(F.struct(*order).alias("k")).schema["k"].dataType)
+    return spark.createDataFrame([(sample[step::step],)], T.StructType([T.StructField("__bounds", kind)]))
+
+
 def split_replay(
     df: DataFrame,
     ts: str,

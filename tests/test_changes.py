@@ -163,6 +163,22 @@ def test_replay_split_shapes(spark, monkeypatch):
     assert {r.batch_id: r["count"] for r in by_steps} == {-1: 40, **{i: 8 for i in range(6)}, 6: 12}  # the last step takes what is left over
 
 
+def test_numbering_slices_are_equally_deep(spark, monkeypatch):
+    """A burst of one time stamp beside a sparse year, with rows without a time: no slice over twice the mean."""
+    monkeypatch.setattr(files, "NUMBERING_ROWS", 1000)
+    burst, sparse = at("2024-06-01"), at("2024-01-01")
+    df = spark.range(20_000).select("id", F.when(F.col("id") % 997 == 5, None).when(
+        F.col("id") < 18_000, F.lit(burst)).otherwise(F.lit(sparse) + F.make_dt_interval(
+            hours=(F.col("id") % 8000).cast("int"))).cast("timestamp_ntz").alias("ts"))
+    bounds = files._bounds(df, ["ts", "id"])
+    depth = [r["count"] for r in df.crossJoin(bounds).groupBy(
+        files.position(F.col("__bounds"), F.struct("ts", "id"), files.NUMBERING_SLICES)).count().collect()]
+    assert len(depth) == 20 and max(depth) < 2 * 1000
+    got = {r.id: r.rn for r in files.global_row_number(df, "ts", ["id"]).collect()}
+    rows = sorted(df.collect(), key=lambda r: (r.ts is not None, r.ts or burst, r.id))
+    assert got == {r.id: n for n, r in enumerate(rows)}
+
+
 def test_upsert_store_is_idempotent_and_evolves(spark, tmp_path):
     store = KeyedStore(spark, str(tmp_path / "s"), ROW, ["id"], buckets=4)
     make = lambda rows, ddl="op string, id bigint, name string": spark.createDataFrame(rows, ddl)

@@ -6,8 +6,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from rillstream import skew
 from rillstream.operators.relational import asof_latest
-from rillstream.operators.windows import Trailing, days, engagement, lag_cols, rolling
+from rillstream.operators.windows import Trailing, days, engagement, lag_cols, rolling, time_axis
 from rillstream.params import AlertParams, DetectorParams
 from rillstream.plans import cards
 from rillstream.skew import split_hot
@@ -48,6 +49,23 @@ def test_hot_plans_equal_plain_plans(spark, limit):
         lag_cols(order, ["cc_num"], "ts", {"p": "amt"}, "tie", None))
 
 
+@pytest.mark.parametrize("rows_per_slice", [3, 17])
+def test_slices_of_a_hot_key_follow_its_density(spark, monkeypatch, rows_per_slice):
+    """A burst of different times inside a sparse year goes into many slices, and all plans agree."""
+    monkeypatch.setattr(skew, "SLICE_ROWS", rows_per_slice)
+    start = datetime(2024, 1, 1)
+    times = [start + timedelta(days=k) for k in range(40)] + [start + timedelta(days=9, seconds=k) for k in range(160)]
+    df = spark.createDataFrame([(k, 1, t) for k, t in enumerate(times)], "event_id int, cc_num int, ts timestamp_ntz")
+    hot = split_hot(df, ["cc_num"], time_axis(df, "ts"), 10).hot
+    depth = [r["count"] for r in skew.equi_depth(hot.withColumn("at", time_axis(df, "ts")), ["cc_num"], "at").groupBy(
+        "__slice").count().collect()]
+    assert len(depth) > 150 / rows_per_slice and max(depth) <= 2 * rows_per_slice
+    specs = {"n": Trailing(days(2)), "m": Trailing(timedelta(seconds=30))}
+    assert bag(rolling(df, ["cc_num"], "ts", specs, 10)) == bag(rolling(df, ["cc_num"], "ts", specs, None))
+    assert bag(lag_cols(df, ["cc_num"], "ts", {"p": "ts"}, "event_id", 10)) == bag(
+        lag_cols(df, ["cc_num"], "ts", {"p": "ts"}, "event_id", None))
+
+
 def test_a_null_key_can_be_hot(spark):
     txn, _ = awkward(spark)
     parts = split_hot(txn.filter("cc_num is null"), ["cc_num"], F.col("event_id"), 3)
