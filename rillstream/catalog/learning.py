@@ -244,13 +244,16 @@ def train_test_split(spark, d):
 MODEL_FEATURES = [c for c in ft.FEATURE_COLUMNS if c not in ("cc_num", "is_fraud", "unix_time")]
 
 
-def labelled(spark, d):
-    """The feature view with a learnable label: large night-time spending."""
-    rows = _features(spark, d)
+def label(rows):
+    """Feature rows with a learnable label: large night-time spending."""
     risky = (F.col("amt") > 2 * F.col("avg_spend_pm")) & (F.col("hour_of_day") < 12)
     return rows.withColumn("is_fraud", risky.cast("int"))
 
 
+def labelled(spark, d):
+    return label(_features(spark, d))
+
+
 @q("train_classifier", o("txn_ml demo", FEATURES + """,
 cut AS (SELECT quantile_cont(CAST(unix_time AS DOUBLE), 0.8) AS c FROM features)
 SELECT event_id, CAST(amt > 2 * avg_spend_pm AND hour_of_day < 12 AS INTEGER) AS is_fraud, true AS accurate

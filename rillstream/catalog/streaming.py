@@ -15,11 +15,12 @@ from ..sources import files, tables
 from ..streaming import maintain as mt
 from ..streaming import streams as st
 from ..streaming.cards import CardAlertMaintainer
+from ..streaming.scoring import FeatureMaintainer, ScoreMaintainer
 from ..streaming.store import EpochLog, History, KeyedStore
 from .base import Catalog
 from .cards import ALERTS, DETECT, FIVE_SQL, details_sql, plain
 from .changes import TXN
-from .learning import FEATURES, MODEL_FEATURES, labelled
+from .learning import FEATURES, MODEL_FEATURES, label, labelled
 
 CATALOG = Catalog()
 q = CATALOG.query
@@ -392,16 +393,27 @@ def run_to_completion(spark, d):
 @q("stream_scoring", o("txn_ml demo", FEATURES + """
 SELECT event_id, CAST(amt > 2 * avg_spend_pm AND hour_of_day < 12 AS INTEGER) AS is_fraud, true AS same FROM features"""))
 def stream_scoring(spark, d):
-    """Train on the feature table, then score it chunk by chunk from a stream; same says whether a row's prediction is
-    that of the whole table at once."""
+    """Train on the feature table; then compute features from a stream of transactions with late rows and score those
+    that each step changes. same says whether a row's final prediction is that of the whole table at once."""
     rows = ft.feature_table(labelled(spark, d), scratch(spark, "scored-features"))
     model = ml.train(rows, MODEL_FEATURES, "is_fraud")
-    path, out = scratch(spark, "chunks"), scratch(spark, "scores")
-    rows.write.parquet(path)
-    sink = tables.truncate_sink(out)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    score = ml.scorer(model, lambda scored, epoch: sink(scored.select("event_id", "is_fraud", "prediction"), epoch))
-    st.run_batches(stream, score, scratch(spark, "cp"))
+    source = fx.txn_ml(spark, d).schema
+    time = T.StructField("trans_date_trans_time", T.TimestampNTZType())
+    by = dict(bucket_by=["cc_num"], time=time.name, span=SPAN)
+    key = ["cc_num", time.name, "event_id"]
+    features = KeyedStore(
+        spark, scratch(spark, "features"), T.StructType([*rows.schema, time]), key, BUCKETS, **by)
+    scored = T.StructType([*[f for f in rows.schema if f.name in ("cc_num", "event_id", "is_fraud")], time,
+                           T.StructField("prediction", T.IntegerType())])
+    scores = KeyedStore(spark, scratch(spark, "scores"), scored, key, BUCKETS, **by)
+    history = History(spark, scratch(spark, "history"), source, ["cc_num"], time.name, BUCKETS, SPAN)
+    score = ScoreMaintainer(
+        FeatureMaintainer(history, features, fx.demo(spark, d), finish=lambda df: ft.feature_table(label(df))),
+        lambda df: ml.predict(model, df), scores)
+    path, schema = _stored_steps(spark, d)
+    preload, run = files.replay(spark, path, scratch(spark, "landing"), schema)
+    score(fx.as_ml(preload), 0)
+    run(lambda arrived, step: score(fx.as_ml(arrived), step + 1), scratch(spark, "cp"))
     at_once = ml.predict(model, rows).select("event_id", F.col("prediction").alias("whole"))
-    return spark.read.parquet(out).join(at_once, "event_id").select(
+    return scores.current().join(at_once, "event_id").select(
         "event_id", "is_fraud", (F.col("prediction") == F.col("whole")).alias("same"))

@@ -81,8 +81,8 @@ DEMO = CUST + [
 ]
 
 
-def txn_ml(spark, sf_dir) -> DataFrame:
-    return txn(spark, sf_dir).select(
+def as_ml(txn: DataFrame) -> DataFrame:
+    return txn.select(
         "event_id",
         F.col("ts").alias("trans_date_trans_time"),
         "cc_num",
@@ -93,6 +93,10 @@ def txn_ml(spark, sf_dir) -> DataFrame:
     )
 
 
+def txn_ml(spark, sf_dir) -> DataFrame:
+    return as_ml(txn(spark, sf_dir))
+
+
 def demo(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "customer").selectExpr(
         *DEMO, "date_add(DATE'1950-01-01', CAST(c_custkey * 31 % 18000 AS INT)) AS dob"

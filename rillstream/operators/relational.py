@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from ..functions import epoch_bucket
 from ..session import cut
+from ..skew import bounded_broadcast
 
 
 # -- projection and filters ---------------------------------------------------
@@ -221,29 +222,32 @@ def running_total(df: DataFrame, order: Sequence[str], value: Column, name: str)
 
 
 def percentiles(df: DataFrame, col: str, ps: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
-    """Interpolated percentiles through a value histogram.
+    """Exact interpolated percentiles, of the whole table or per key, NULL being a key of its own.
 
-    Equal values are counted first. Without keys the two values around each rank are then
-    found from running totals; with keys the exact percentile sees a key's distinct values.
+    Equal values are counted first. One running total over all (keys, value) ranges then places each value among those
+    of its key, so the values of a hot key spread over as many tasks as they fill; what meets per key afterwards is
+    one partial row per task. Keys without any value have no row.
     """
     hist = df.filter(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__n"))
-    names = [f"p{p:g}".replace(".", "_") for p in ps]
+    run = running_total(hist, [*keys, col], F.col("__n"), "__upto")
+    first = F.col("__upto") - F.col("__n")
+    spans = run.groupBy(*[F.col(k).alias(f"__of_{k}") for k in keys]).agg(
+        F.min(first).alias("__start"), F.max("__upto").alias("__end"))
     if keys:
-        return hist.groupBy(*keys).agg(
-            *[F.percentile(col, p / 100.0, F.col("__n")).alias(n) for p, n in zip(ps, names)],
-            F.max(col).alias("max"),
-        )
-    run = running_total(hist, [col], F.col("__n"), "__upto")
-    size = df.agg(F.count(col)).first()[0]
+        same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys])
+        placed = run.join(bounded_broadcast(spans, spans.count()), same)
+    else:
+        placed = run.crossJoin(F.broadcast(spans))  # one row
+    holds = lambda k: (F.col("__upto") - F.col("__start") > k) & (first - F.col("__start") <= k)
+    value, last = F.col(col).cast("double"), F.col("__end") - F.col("__start") - 1
     aggs = []
-    for p, n in zip(ps, names):
-        rank = p / 100.0 * max(size - 1, 0)
-        low = int(rank)
-        at = lambda k: F.max(F.when(
-            (F.col("__upto") > k) & (F.col("__upto") - F.col("__n") <= k), F.col(col))).cast("double")
-        high = at(min(low + 1, max(size - 1, 0)))
-        aggs.append((F.lit(low + 1 - rank) * at(low) + F.lit(rank - low) * high).alias(n))
-    return run.agg(*aggs, F.max(col).alias("max"))
+    for p in ps:
+        rank = F.lit(p / 100.0) * last
+        low = F.floor(rank)
+        below = F.sum(F.when(holds(low), (low + 1 - rank) * value))
+        above = F.sum(F.when(holds(F.least(low + 1, last)), (rank - low) * value))
+        aggs.append((below + above).alias(f"p{p:g}".replace(".", "_")))
+    return placed.groupBy(*keys).agg(*aggs, F.max(col).alias("max"))
 
 
 def total(df: DataFrame, name: str = "n") -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import timedelta
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -20,8 +23,14 @@ FEATURE_COLUMNS = [
 WEEKEND = (6, 7)
 
 
-def feature_view(txn: DataFrame, demo: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Per transaction: calendar flags, trailing spend averages, demographics, label.
+# A transaction changes features up to 90 days later; a second more, as windows are in whole seconds.
+FEATURE_REACH = timedelta(seconds=90 * DAY + 1)
+
+
+def feature_view(
+    txn: DataFrame, demo: DataFrame, hot_rows: int | None = HOT_ROWS, keep: Sequence[str] = (),
+) -> DataFrame:
+    """Per transaction: calendar flags, trailing spend averages, demographics, label; and the columns to ``keep``.
 
     ``avg_spend_p3m_over_d`` groups by day of month. Trailing windows run on
     integer seconds before the demographics join, which adds no rows (one per
@@ -43,7 +52,7 @@ def feature_view(txn: DataFrame, demo: DataFrame, hot_rows: int | None = HOT_ROW
         "hour_of_day": date_part("hour", at),
         "is_night": flag(date_part("hour", at) <= 6, True, False),
         "avg_spend_p3m_over_d": F.coalesce("__p3m", F.lit(0.0)),
-    }).select(*extra, *FEATURE_COLUMNS)
+    }).select(*extra, *keep, *FEATURE_COLUMNS)
 
 
 def combined(txn: DataFrame, profiles: DataFrame) -> DataFrame:

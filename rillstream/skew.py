@@ -59,9 +59,14 @@ def hot_keys(stats: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
         *keys, F.greatest(slices, F.lit(1)).cast("int").alias(SLICE_COL))
 
 
-def position(bounds: Column, value: Column, most: int) -> Column:
-    """How many of the ascending ``bounds``, ``most`` at the utmost, are at or below ``value``: a binary search."""
+def halvings(bounds: Column, most: int) -> Column:
+    """The strides of a binary search in ``bounds``: powers of two up to their number, falling."""
     steps = F.array(*[F.lit(1 << k) for k in reversed(range(most.bit_length()))])
+    return F.filter(steps, lambda step: step <= F.size(bounds))
+
+
+def position(bounds: Column, steps: Column, value: Column) -> Column:
+    """How many of the ascending ``bounds`` are at or below ``value``; ``steps`` are their ``halvings``."""
     return F.aggregate(steps, F.lit(0), lambda pos, step: F.when(
         F.get(bounds, pos + step - F.lit(1)) <= value, pos + step).otherwise(pos))
 
@@ -71,17 +76,19 @@ def equi_depth(rows: DataFrame, keys: Sequence[str], at: str, points: DataFrame
     is cut as finely as it is dense. Equal times share a slice; rows without a time are in the first.
 
     ``rows`` are those of hot keys with SLICE_COL. ``points`` (keys, SLICE_COL, ``at``) are what the quantiles
-    are taken of, if not the rows. A key's quantiles are one row, folded from sketches of all tasks, and grow with its
-    number of slices; without a size to go by the join is left to AQE, which also splits a hot key.
+    are taken of, if not the rows. A key's quantiles are one row, folded from sketches of all tasks; they are broadcast
+    where the counted number of keys, which SLICE_COL has in its metadata, bounds their size.
     """
     grid = F.percentile_approx(at, [k / MAX_SLICES for k in range(1, MAX_SLICES)], F.lit(10 * MAX_SLICES))
     found = (points or rows).groupBy(*keys).agg(grid.alias("__grid"), F.max(SLICE_COL).alias("__parts"))
     every = F.greatest(F.lit(1), F.floor(F.lit(MAX_SLICES) / F.col("__parts"))).cast("int")
     kept = F.array_distinct(F.filter("__grid", lambda _, i: (i + 1) % every == 0))
-    bounds = found.select(*[F.col(k).alias(f"__of_{k}") for k in keys], kept.alias("__bounds"))
+    bounds = found.select(*[F.col(k).alias(f"__of_{k}") for k in keys], kept.alias("__bounds")).withColumn(
+        "__steps", halvings(F.col("__bounds"), MAX_SLICES))
     same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys])
-    return rows.join(bounds, same).select(
-        *rows.columns, position(F.col("__bounds"), F.col(at), MAX_SLICES).alias("__slice"))
+    n_keys = rows.schema[SLICE_COL].metadata.get("keys", BROADCAST_ROWS)
+    return rows.join(bounded_broadcast(bounds, n_keys * MAX_SLICES // 5), same).select(  # 8 bytes a bound, not 40
+        *rows.columns, position(F.col("__bounds"), F.col("__steps"), F.col(at)).alias("__slice"))
 
 
 def split_hot(
@@ -114,7 +121,7 @@ def split_hot(
     same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys])
     return HotSplit(
         df.join(named.drop(SLICE_COL), same, "left_anti"),
-        df.join(named, same, "inner").select(*df.columns, SLICE_COL),
+        df.join(named, same, "inner").select(*df.columns, F.col(SLICE_COL).alias(SLICE_COL, metadata={"keys": row.n})),
         hot.select(*keys),
         row.n,
         limit,

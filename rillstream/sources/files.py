@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ..skew import position
+from ..skew import halvings, position
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 # Rows aimed at per slice when numbering all rows of a table, most slices, and sampled positions per slice.
@@ -51,7 +51,7 @@ def global_row_number(df: DataFrame, ts: str, tie: Sequence[str], name: str = "r
     bounds = _bounds(df, [ts, *tie])
     at = F.struct(ts, *tie)
     rows = df.crossJoin(F.broadcast(bounds)).select(  # one row
-        *df.columns, position(F.col("__bounds"), at, NUMBERING_SLICES).alias("__slice"))
+        *df.columns, position(F.col("__bounds"), F.col("__steps"), at).alias("__slice"))
     counts = rows.groupBy("__slice").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__slice",
@@ -83,7 +83,8 @@ def _bounds(df: DataFrame, order: Sequence[str]) -> DataFrame:
         sample = [tuple(r) for r in key.filter(drawn).distinct().orderBy(*order).collect()]
     step = max(1, -(-len(sample) // max(slices, 1)))
     kind = T.ArrayType(key.select(F.struct(*order).alias("k")).schema["k"].dataType)
-    return spark.createDataFrame([(sample[step::step],)], T.StructType([T.StructField("__bounds", kind)]))
+    bounds = spark.createDataFrame([(sample[step::step],)], T.StructType([T.StructField("__bounds", kind)]))
+    return bounds.withColumn("__steps", halvings(F.col("__bounds"), NUMBERING_SLICES))
 
 
 def split_replay(

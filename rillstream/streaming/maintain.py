@@ -73,7 +73,7 @@ class RollingMaintainer:
         small = bounded_broadcast(ranges, n)
         context = self.history.read(epoch, pieces).join(small, self.keys).filter(self._in(reach_lo, reach_hi))
         hot = self.history.hot_limit(epoch, pieces)
-        full = rolling(self.prepare(context), self.keys, self.order, self.specs, hot)
+        full = self.build(context, hot)
         # rows up to one horizon after a late row change too
         after = full.filter(self._in(F.col("__lo"), reach_hi)).drop("__lo", "__hi")
         before = self._stored(small, pieces if self.store.shares_buckets(self.history) else None, epoch)
@@ -81,6 +81,9 @@ class RollingMaintainer:
         ranges.unpersist()
         return changes
 
+    def build(self, context: DataFrame, hot: int | None) -> DataFrame:
+        return rolling(self.prepare(context), self.keys, self.order, self.specs, hot)
+
     def _stored(self, small: DataFrame, pieces, epoch: int) -> DataFrame:
         """Stored results in the affected ranges."""
         rows = self.store.current(epoch - 1, pieces, only=small, on=self.keys)

@@ -172,7 +172,7 @@ def test_numbering_slices_are_equally_deep(spark, monkeypatch):
             hours=(F.col("id") % 8000).cast("int"))).cast("timestamp_ntz").alias("ts"))
     bounds = files._bounds(df, ["ts", "id"])
     depth = [r["count"] for r in df.crossJoin(bounds).groupBy(
-        files.position(F.col("__bounds"), F.struct("ts", "id"), files.NUMBERING_SLICES)).count().collect()]
+        files.position(F.col("__bounds"), F.col("__steps"), F.struct("ts", "id"))).count().collect()]
     assert len(depth) == 20 and max(depth) < 2 * 1000
     got = {r.id: r.rn for r in files.global_row_number(df, "ts", ["id"]).collect()}
     rows = sorted(df.collect(), key=lambda r: (r.ts is not None, r.ts or burst, r.id))

@@ -49,3 +49,24 @@ def test_percentiles_and_codes_over_ranges(spark):
     names = spark.createDataFrame([(f"n{k % 40:03d}",) for k in range(200)] + [(None,)], "c string")
     got = {(r.c, r.c_code) for r in ft.encode_category(names, "c").collect()}
     assert got == {(f"n{k:03d}", k) for k in range(40)} | {(None, None)}
+
+
+def test_percentiles_per_key_spread_a_hot_key(spark):
+    """Equal to numpy per key, NULL key included; no range of the running totals holds all of the hot key."""
+    import numpy as np
+    from rillstream.operators import relational as rel
+    rng = np.random.default_rng(1)
+    rows = [("hot", float(x)) for x in rng.normal(size=4000)] + [(k, float(x)) for k in ("a", "b", None)
+            for x in rng.integers(0, 9, 30)] + [("one", 3.0), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    ps = [0, 12.5, 50, 90, 100]
+    got = {r.k: list(r)[1:] for r in rel.percentiles(df, "v", ps, ["k"]).collect()}
+    assert set(got) == {"hot", "a", "b", None, "one"}
+    for k, found in got.items():
+        values = [v for key, v in rows if key == k]
+        assert np.allclose(found, [*np.percentile(values, ps, method="linear"), max(values)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be one partition
+    run = rel.running_total(df.filter("v is not null"), ["k", "v"], F.lit(1), "n")
+    share = [r["count"] for r in run.filter("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()]
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(share) > 1 and max(share) < 4000
