@@ -1,7 +1,8 @@
 """Any sequence of micro-batches ends in the state of one batch run."""
 
 import random
-from datetime import timedelta
+from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from brute import CUST_DDL, TXN_DDL, at, schema, txn_row
@@ -301,3 +302,32 @@ def test_unfinished_epoch_is_invisible(spark, tmp_path):
     assert store.current(log.last()).isEmpty()
     commit_epoch(0, [lambda e: store.write(rows, e)], log)
     assert store.current(log.last()).count() == 1
+
+
+def test_features_and_scores_follow_late_and_retried_rows(spark, tmp_path):
+    """Kept features equal the batch view, and every score is that of its final features."""
+    from rillstream.plans import features as ft
+    from rillstream.streaming.scoring import FeatureMaintainer, ScoreMaintainer
+    ddl = ("event_id bigint, cc_num bigint, trans_date_trans_time timestamp_ntz, amt decimal(12,2), unix_time bigint, "
+           "is_fraud bigint")
+    start = datetime(2024, 1, 1)
+    when = [start + timedelta(hours=(k * 37) % 4000) for k in range(60)]
+    rows = [(k, k % 4, t, Decimal(k) / 4, int((t - datetime(1970, 1, 1)).total_seconds()), 0) for k, t in enumerate(when)]
+    txn = spark.createDataFrame(rows, ddl)
+    demo = spark.createDataFrame([(k, k + 10, 100 * k) for k in range(3)], "cc_num bigint, zip bigint, city_pop bigint")
+    whole = ft.feature_table(ft.feature_view(txn, demo, None, ["trans_date_trans_time"]))
+    key, by = ["cc_num", "trans_date_trans_time", "event_id"], dict(
+        bucket_by=["cc_num"], time="trans_date_trans_time", span=timedelta(days=7))
+    features = KeyedStore(spark, str(tmp_path / "f"), whole.schema, key, 2, **by)
+    shape = T.StructType([*[f for f in whole.schema if f.name in key], T.StructField("prediction", T.DoubleType())])
+    scores = KeyedStore(spark, str(tmp_path / "s"), shape, key, 2, **by)
+    history = History(spark, str(tmp_path / "h"), txn.schema, ["cc_num"], "trans_date_trans_time", 2, timedelta(days=7))
+    rule = F.col("avg_spend_pw") + F.col("trans_freq_24") + F.col("avg_spend_p3m_over_d")
+    keep = ScoreMaintainer(
+        FeatureMaintainer(history, features, demo), lambda df: df.withColumn("prediction", rule), scores)
+    for epoch, cond in enumerate(("event_id % 3 = 0", "event_id % 3 = 1", "event_id % 3 = 2")):
+        keep(txn.filter(cond), epoch)
+    keep(txn.filter("event_id % 3 = 2"), 2)  # the last step again
+    bag = lambda df: sorted(map(str, df.collect()))
+    assert bag(features.current().select(*whole.columns)) == bag(whole)
+    assert bag(scores.current().select(*key, "prediction")) == bag(whole.withColumn("prediction", rule).select(*key, "prediction"))
