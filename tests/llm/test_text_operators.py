@@ -1,7 +1,9 @@
 """Text operators against plain versions, on the smallest table and on awkward rows."""
 
+import functools
 import hashlib
 import itertools
+import math
 import sys
 from pathlib import Path
 
@@ -244,48 +246,73 @@ def test_language_model(docs, rows):
     assert bits / sum(len(t.encode()) for i, t in rows if i not in learned) < 3.2  # code length per byte
 
 
-def test_context_tree_is_the_weighted_mixture():
-    text = flat(pa.array(["abracadabra abracadabra", "banana bandana"]))
-    key = lm.context_ids(text).astype(np.int64) << 8 | text.data
-    u, n = np.unique(key, return_counts=True)
-    model = lm.weigh(u, n)
-    assert np.allclose((10.0 ** model.logp.astype(float)).sum(1), 1, atol=1e-5)
-    # the first decision of the byte after "b", by the recursion over its contexts
-    shift = [16, 10, 4, 0]
-
-    def counts(depth, context):
-        hit = (u >> 8 >> shift[depth]) == context
-        return [int(n[hit & ((u >> 7 & 1) == b)].sum()) for b in (0, 1)]
+def brute_tree(training):
+    """Score of a text by the recursion over contexts kept in plain dictionaries."""
+    white = b" \t\n\x0b\x0c\r"
+    seen = {}
+
+    def steps(text):
+        data = b" " + text
+        for at in range(1, len(data)):
+            begin = at - 1
+            while begin > 0 and data[begin] not in white and at - begin < lm.DEPTH:
+                begin -= 1
+            for bit in range(8):
+                yield data[begin:at], (1 << bit) + (data[at] >> 8 - bit), data[at] >> 7 - bit & 1
+
+    for t in training:
+        for context, decision, bit in steps(t):
+            for k in range(len(context) + 1):
+                node = context[len(context) - k:]
+                seen.setdefault((node, decision), [0, 0])[bit] += 1
+    children = {}
+    for node, decision in seen:
+        if node:
+            children.setdefault((node[1:], decision), []).append(node)
+    leaf = lambda node: len(node) == lm.DEPTH or (node and node[0] in white)
 
     def kt(a, b):
-        p = 1.0
-        for k in range(a):
-            p *= (k + 0.5) / (k + 1)
-        for k in range(b):
-            p *= (k + 0.5) / (a + k + 1)
-        return p
-
-    def weighted(depth, context):
-        a, b = counts(depth, context)
-        if depth == 3:
-            return kt(a, b)
-        below = 1.0
-        for c in {x >> 8 >> shift[depth + 1] for x in u.tolist() if (x >> 8 >> shift[depth]) == context}:
-            below *= weighted(depth + 1, c)
-        return 0.5 * kt(a, b) + 0.5 * below
-
-    context = int(key[1] >> 8)
-    p = 0.5
-    for depth in range(3, -1, -1):
-        a, b = counts(depth, context >> shift[depth])
-        mine = (b + 0.5) / (a + b + 1)
-        if depth == 3:
-            p = mine
-        else:
-            w = 0.5 * kt(a, b) / weighted(depth, context >> shift[depth])
-            p = w * mine + (1 - w) * p
-    row = model.logp[model.row[context]].astype(float)
-    assert (10.0 ** row)[128:].sum() == pytest.approx(p, rel=1e-4)
+        return math.lgamma(a + .5) + math.lgamma(b + .5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+    @functools.cache
+    def logw(node, decision):
+        own = kt(*seen[node, decision])
+        if leaf(node):
+            return own
+        return np.logaddexp(own, sum(logw(c, decision) for c in children[node, decision])) - math.log(2)
+
+    def score(text):
+        total = 0.0
+        for context, decision, bit in steps(text):
+            p, left = 0.0, 1.0
+            for k in range(len(context) + 1):
+                node = context[len(context) - k:]
+                a, b = seen.get((node, decision), (0, 0))
+                w = 1.0 if leaf(node) else 0.5 * math.exp(kt(a, b) - logw(node, decision)) if a + b else 0.5
+                p, left = p + left * w * (b + .5) / (a + b + 1), left * (1 - w)
+            total += math.log10(p if bit else 1 - p)
+        return total
+
+    return score
+
+
+def test_context_tree_is_the_weighted_mixture(spark):
+    texts = ["abracadabra abracadabra\tAbra", "banana bandana", " two  spaces \n", "\0nul\0", "naïve", "x" * 40,
+             "unseen words abracadavra banana", "", None]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for learned in (6, 0):
+        score = brute_tree([t.encode() for t in texts[:learned]])
+        for size in (10, lm.FREQUENT):  # joined or held
+            for training in (F.col("doc_id") < learned, docs.where(F.col("doc_id") < learned)):
+                got = {r.doc_id: r.score for r in lm.scores(docs, training, size, size).collect()}
+                assert got == pytest.approx({i: score((t or "").encode()) for i, t in rows}, rel=1e-9)
+
+
+def test_language_model_grows_with_its_corpus(spark):
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.sha1(F.col("id").cast("string")).alias("text"))
+    sizes = [lm.pair_counts(lm.unit_counts(docs.limit(n).withColumn("train", F.lit(1)))).count() for n in (1000, 2000)]
+    assert sizes[1] > 1.9 * sizes[0]
 
 
 def test_language_model_awkward(awkward, nothing):
