@@ -146,13 +146,10 @@ def editors(spark, sf_dir) -> DataFrame:
 
 
 def viewers(spark, sf_dir) -> DataFrame:
-    """Ten groups, each viewing up to ten sub-folders."""
-    return (
-        table(spark, sf_dir, "nation")
-        .filter("n_nationkey < 10")
-        .selectExpr("CAST(n_nationkey AS BIGINT) AS group_id", "explode(sequence(0, 9)) AS k")
-        .selectExpr("group_id", "CAST(100 + (7 * group_id + 3 * k) % 25 AS BIGINT) AS file_id")
-    )
+    """One group per supplier; it views the folder of the supplier's nation and the one seven places on."""
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS group_id", "explode(array(0, 7)) AS k", "s_nationkey AS nation"
+    ).selectExpr("group_id", "CAST(100 + (nation + k) % 25 AS BIGINT) AS file_id")
 
 
 def users(spark, sf_dir) -> DataFrame:
@@ -161,8 +158,10 @@ def users(spark, sf_dir) -> DataFrame:
 
 
 def members(spark, sf_dir) -> DataFrame:
+    """Every user is in up to three of the groups, whose number grows with the suppliers."""
+    n = table(spark, sf_dir, "supplier").count()  # a scalar from file metadata
     return users(spark, sf_dir).selectExpr(
-        "id AS user_id", "explode(array(id % 10, (3 * id + 1) % 10, (7 * id + 2) % 10)) AS group_id"
+        "id AS user_id", f"explode(array(id % {n}, (3 * id + 1) % {n}, (7 * id + 2) % {n})) AS group_id"
     ).distinct()
 
 
@@ -217,14 +216,15 @@ ORACLE_VIEWS: dict[str, str] = {
         "UNION ALL SELECT 1100 + c_custkey, 100 + c_nationkey FROM customer"),
     "editors": "SELECT CAST(2 * r_regionkey AS BIGINT) AS group_id, CAST(r_regionkey AS BIGINT) AS file_id FROM region",
     "viewers": (
-        "SELECT CAST(n_nationkey AS BIGINT) AS group_id, CAST(100 + (7 * n_nationkey + 3 * k) % 25 AS BIGINT) AS file_id "
-        "FROM nation CROSS JOIN range(10) AS s(k) WHERE n_nationkey < 10"),
+        "SELECT s_suppkey AS group_id, CAST(100 + (s_nationkey + k) % 25 AS BIGINT) AS file_id "
+        "FROM supplier CROSS JOIN (VALUES (0), (7)) AS s(k)"),
     "users": (
         "SELECT DISTINCT user_id AS id, 'user-' || CAST(user_id AS VARCHAR) AS name, "
         "user_id % 17 = 0 AS is_banned FROM events"),
     "members": (
-        "SELECT id AS user_id, id % 10 AS group_id FROM users UNION SELECT id, (3 * id + 1) % 10 FROM users "
-        "UNION SELECT id, (7 * id + 2) % 10 FROM users"),
+        "SELECT id AS user_id, id % n AS group_id FROM users, suppliers UNION SELECT id, (3 * id + 1) % n "
+        "FROM users, suppliers UNION SELECT id, (7 * id + 2) % n FROM users, suppliers"),
+    "suppliers": "SELECT count(*) AS n FROM supplier",
     "access_log": (
         "SELECT event_id, user_id, 1100 + event_id * 31 % (SELECT count(*) FROM customer) AS file_id, "
         "CASE WHEN event_id % 2 = 0 THEN 'read' ELSE 'write' END AS access_request, ts FROM events"),
@@ -234,7 +234,7 @@ ORACLE_VIEWS: dict[str, str] = {
         f"FROM ({_select(ORDER_BASE, 'orders')}) CROSS JOIN (VALUES (1), (2), (3)) AS v(seq) "
         "WHERE seq = 1 OR (seq = 2 AND o_orderkey % 3 = 0) OR (seq = 3 AND o_orderkey % 5 = 0)"),
 }
-_NEEDS = {"txn_ml": ["txn"], "fs_txn": ["txn"], "members": ["users"]}
+_NEEDS = {"txn_ml": ["txn"], "fs_txn": ["txn"], "members": ["users", "suppliers"]}
 
 
 def oracle(views: str, body: str, recursive: bool = False) -> str:
