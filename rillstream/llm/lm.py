@@ -28,6 +28,8 @@ from .tables import kept
 
 #: At most so many frequent units and frequent pairs are held by every task; the others are joined.
 FREQUENT, FREQUENT_PAIRS = 200_000, 1_000_000
+#: Pairs that are folded at once; one pair of nearest bytes is folded whole.
+SLICE = 1 << 16
 DEPTH = 6
 HAS_WORD, IS_LAST = 1, 2
 
@@ -249,23 +251,39 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
     return column("pair"), column("n")
 
 
+def _slices(pair: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same pairs in parts of about SLICE, those of equal two nearest bytes together: below depth 2 these share
+    no node, so a task holds the nodes of one part at a time."""
+    group = pair & 0xFFFF00
+    order = np.argsort(group, kind="stable")
+    begins = np.flatnonzero(np.diff(group[order], prepend=-1))
+    ends = np.append(begins[1:], len(order))
+    at = 0
+    while at < len(order):
+        last = max(int(np.searchsorted(ends, at + SLICE, "right")) - 1, int(np.searchsorted(ends, at, "right")))
+        part = order[at:ends[last]]
+        yield pair[part], n[part]
+        at = int(ends[last])
+
+
 def weighted_pairs(counted: DataFrame) -> DataFrame:
     """(pair, n, logp): every pair with its log10 probability in the weighted tree."""
     spark = counted.sparkSession
     placed = kept(counted, "lm-pairs").repartition(F.col("pair").bitwiseAND(0xFFFF00))
 
     def up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _heads(*_whole(batches))], ["key", "zeros", "ones", "below"])
+        for part in _slices(*_whole(batches)):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _heads(*part)], ["key", "zeros", "ones", "below"])
 
     sums = map_arrow(placed, up, "key long, zeros double, ones double, below double").groupBy("key").agg(
         *[F.sum(c).alias(c) for c in ("zeros", "ones", "below")]).toArrow()  # at most 256 contexts x 255 decisions
     top = spark.sparkContext.broadcast(top_levels(*(sums[c].to_numpy() for c in ("key", "zeros", "ones", "below"))))
 
     def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, n = _whole(batches)
-        logp = pair_logs(pair, n, top.value)
-        for at in range(0, len(pair), 200_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[at:at + 200_000]) for x in (pair, n, logp)], ["pair", "n", "logp"])
+        for pair, n in _slices(*_whole(batches)):
+            logp = pair_logs(pair, n, top.value)
+            for at in range(0, len(pair), 200_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[at:at + 200_000]) for x in (pair, n, logp)], ["pair", "n", "logp"])
 
     return map_arrow(placed, down, "pair long, n long, logp double")
 
