@@ -49,7 +49,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds ids, n_tokens and the text decoded from the ids; the text itself goes."""
     model = pieces.Pieces.load(pieces.default_model())
-    rows = pieces.decoded(pieces.encoded(docs, model), model)
+    rows = pieces.encoded(docs, model, decoded="decoded")
     return rows.withColumn("n_tokens", F.size("ids").cast("long")).drop("text")
 
 

@@ -415,20 +415,33 @@ def _shared(docs: DataFrame, pieces: Pieces):
     return docs.sparkSession.sparkContext.broadcast(tuple(vars(pieces).values()))
 
 
-def encoded(docs: DataFrame, pieces: Pieces) -> DataFrame:
+#: Bytes of text encoded at once where other columns travel along.
+ENCODE_BYTES = 1 << 19
+
+
+def encoded(docs: DataFrame, pieces: Pieces, decoded: str | None = None) -> DataFrame:
     """docs with ids array<int>: the pieces of text; none for an empty or null text. Other columns stay; one that is
-    called ids already is replaced."""
-    docs = docs.drop("ids")
+    called ids already is replaced. With ``decoded``, the text of the ids is added under that name as the function
+    ``decoded`` would, by the same Python worker: two in a row would double their number and memory."""
+    docs = docs.drop("ids", *([decoded] if decoded else []))
     shared, names = _shared(docs, pieces), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = Pieces(*shared.value), Known()
-        for b in chunks(batches):
+        for b in chunks(batches, limit=ENCODE_BYTES):
             ids, first = model.encode(flat(b.column("text")), known)
+            back = [pa.array(_texts(model.decode(ids, first)), pa.string())] if decoded else []
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids))], [*names, "ids"])
+                [*b.columns, pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids)), *back],
+                [*names, "ids", *([decoded] if decoded else [])])
+
+    more = [T.StructField(decoded, T.StringType())] if decoded else []
+    return map_arrow(docs, run, T.StructType([
+        *docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), *more]))
+
 
-    return map_arrow(docs, run, T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+def _texts(f: Flat) -> list[str]:
+    return [f.text(i).decode("utf-8", "replace") for i in range(f.n)]
 
 
 def decoded(rows: DataFrame, pieces: Pieces, column: str = "decoded") -> DataFrame:
@@ -442,8 +455,7 @@ def decoded(rows: DataFrame, pieces: Pieces, column: str = "decoded") -> DataFra
             lists = b.column("ids")
             n = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
             f = model.decode(lists.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(n)]))
-            texts = [f.text(i).decode("utf-8", "replace") for i in range(f.n)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*names, column])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_texts(f), pa.string())], [*names, column])
 
     return map_arrow(rows, run, T.StructType([*rows.schema.fields, T.StructField(column, T.StringType())]))
 

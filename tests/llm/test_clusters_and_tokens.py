@@ -298,3 +298,38 @@ def test_groups_are_the_alignments_themselves(spark, toks, worker):
         assert (r.a_ids, r.b_ids) == (a, b)
         ends = list(zip([0, *r.a_ends], r.a_ends, [0, *r.b_ends], r.b_ends, strict=False))
         assert ";".join(",".join(map(str, a[w:x])) + "|" + ",".join(map(str, b[y:z])) for w, x, y, z in ends) == text
+
+
+def test_encoding_and_decoding_share_a_worker(spark):
+    """The pipeline's last stage encodes and decodes in one pass, with the columns of two."""
+    import corpus_pipeline
+    from rillstream.llm import pieces
+
+    docs = spark.createDataFrame(
+        [(1, "Café au  lait", "old"), (2, None, "x"), (3, "", None), (4, "word " * 300, "y")],
+        "doc_id long, text string, decoded string")
+    model = pieces.Pieces.load(pieces.default_model())
+    one = pieces.encoded(docs, model, decoded="decoded")
+    two = pieces.decoded(pieces.encoded(docs, model), model)
+    assert one.columns == two.columns and sorted(one.collect()) == sorted(two.collect())
+    plan = corpus_pipeline.sentencepiece(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
+def test_language_model_folds_bounded_slices(monkeypatch):
+    """Pairs of a task are folded some at a time, those of equal two nearest bytes together; results are the same."""
+    import numpy as np
+    from rillstream.llm import lm
+
+    rnd = np.random.default_rng(1)
+    pair = np.unique(rnd.integers(97, 105, (5000, 7)).dot(1 << (8 * np.arange(7))))
+    n = rnd.integers(0, 9, len(pair))
+    monkeypatch.setattr(lm, "SLICE", 100)
+    parts = list(lm._slices(pair, n))
+    assert max(len(p) for p, _ in parts) <= 100 and sorted(np.concatenate([p for p, _ in parts])) == sorted(pair)
+    groups = [set(p & 0xFFFF00) for p, _ in parts]
+    assert sum(map(len, groups)) == len(set.union(*groups))
+    top = lm.top_levels(*lm._heads(pair, n))
+    whole = dict(zip(pair, lm.pair_logs(pair, n, top)))
+    assert all(abs(whole[k] - x) < 1e-12 for p, m in parts for k, x in zip(p, lm.pair_logs(p, m, top)))
+    assert not list(lm._slices(pair[:0], n[:0]))
