@@ -2,7 +2,7 @@
 
 Tokenizer A is a byte-level model read from a .json file and sees a space and the text; tokenizer B is a SentencePiece
 model, which adds the space itself. Both cut the same bytes. The search for shared cuts divides and conquers: near the middle
-of an interval of A's ends it looks for one that bisection also finds among B's ends; the interval is divided there
+of an interval of A's ends it looks for one that is marked among B's ends too; the interval is divided there
 and both halves go on, and an interval without a shared cut becomes a group. All intervals of all texts of a batch
 advance together, and the stretch of ends looked at around a middle doubles, so a text without shared cuts costs its length.
 
@@ -21,6 +21,8 @@ from __future__ import annotations
 import hashlib
 import itertools
 import json
+import re
+from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -41,6 +43,8 @@ FREQUENT = 1_000_000
 PAIRS_AT_ONCE = 1_000_000
 #: Bits of an id in a pair number.
 PAIR_BITS = 20
+#: The split pattern where a text is ASCII: the same classes, written out for the faster library of the two.
+ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ \t-\rA-Za-z0-9]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
 #: Bytes of text aligned at once; one longer text is still taken whole.
 CHUNK = 1 << 20
 
@@ -87,7 +91,10 @@ def _b(model: bytes):
 
 
 class PieceIds(Counter):
-    """Ids of A by piece of its split pattern: each distinct piece of a task goes through the model once."""
+    """Ids of A by piece of its split pattern: each distinct piece of a task goes through the model once.
+
+    A piece stands for its number; the ids of all numbered pieces lie one after another in ``pool``.
+    """
 
     def __init__(self, spec: str, merges: Merges):
         super().__init__(merges)
@@ -95,20 +102,36 @@ class PieceIds(Counter):
         # no text below this character needs the exact pattern
         self.first_newer = chr(int(merges.newer[2:10], 16)) if merges.newer else "\U0010FFFF"
         self.newer = self.newer or regex.compile("(?!)")
+        self.pool, self.ends = array("q"), array("q", [0])
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __missing__(self, piece: str) -> int:
         letters = self.letters
-        out = tuple(t.id for t in self.model.tokenize("".join([letters[b] for b in piece.encode()])))
+        self.pool.extend([t.id for t in self.model.tokenize("".join([letters[b] for b in piece.encode()]))])
+        number = len(self.ends) - 1
+        self.ends.append(len(self.pool))
         if len(piece) <= LONGEST_REMEMBERED:
-            self[piece] = out
-        return out
+            self[piece] = number
+        return number
 
-    def ids(self, text: str) -> list[int]:
+    def pieces(self, text: str) -> list[str]:
         """Special strings are plain text here."""
-        if len(self) > REMEMBERED:
+        if text.isascii():
+            return ASCII.findall(text)
+        odd = max(text) >= self.first_newer and self.newer.search(text)
+        return (self.exact if odd else self.usual).findall(text)
+
+    def laid(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and where each text's begin."""
+        if len(self.ends) > REMEMBERED or len(self.pool) > 4 * REMEMBERED:
             self.clear()
-        odd = not text.isascii() and max(text) >= self.first_newer and self.newer.search(text)
-        return list(itertools.chain.from_iterable(map(self.__getitem__, (self.exact if odd else self.usual).findall(text))))
+            self.pool, self.ends = array("q"), array("q", [0])
+        parts = [self.pieces(t) for t in texts]
+        first = _offsets([len(p) for p in parts])
+        number = np.fromiter(map(self.__getitem__, itertools.chain.from_iterable(parts)), np.int64, first[-1])
+        pool, ends = np.array(self.pool), np.array(self.ends)
+        n = ends[number + 1] - ends[number]
+        off = _offsets(n)
+        return pool[np.arange(off[-1]) + np.repeat(ends[number] - off[:-1], n)], off[first]
 
 
 class Bytes:
@@ -149,6 +172,8 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, first_a: np.ndarray) ->
     """
     n = np.diff(first_a)
     found = [first_a[1:][n > 0] - 1]
+    of_b = np.zeros(max(ends_a[-1:].sum(), ends_b[-1:].sum()) + 1, bool)
+    of_b[ends_b] = True
     lo, hi = first_a[:-1][n > 1], first_a[1:][n > 1] - 1  # open intervals: inner ends of A from lo up to hi
     while len(lo):
         middle, cut = (lo + hi) // 2, np.full(len(lo), -1, np.int64)
@@ -165,9 +190,8 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, first_a: np.ndarray) ->
                 at = m[still][:, None] + side * (near[rows][:, None] + steps)
                 inside = (at >= lo[rows][:, None]) & (at < hi[rows][:, None])
                 probe = at[inside]
-                value = ends_a[probe]
                 hit = np.zeros(at.shape, bool)
-                hit[inside] = ends_b[np.minimum(np.searchsorted(ends_b, value), len(ends_b) - 1)] == value
+                hit[inside] = of_b[ends_a[probe]]
                 any_hit = hit.any(1)
                 cut[rows[any_hit]] = at[any_hit, hit[any_hit].argmax(1)]
             near[live] += width
@@ -263,10 +287,8 @@ class Worker:
     def align(self, texts: pa.Array) -> Aligned:
         """Texts that are null, empty or not given back have no tokens."""
         f, plain = flat(texts), [t or "" for t in texts.to_pylist()]
-        a = [self.a.ids(" " + t) for t in plain]
-        b = self.b.encode(plain, num_threads=1)
-        a, first_a = _laid(a)
-        b, first_b = _laid(b)
+        a, first_a = self.a.laid([" " + t for t in plain])
+        b, first_b = _laid(self.b.encode(plain, num_threads=1))
         ok = _restored(f, a, first_a, self.a_bytes) & _restored(f, b, first_b, self.b_bytes)
         a, first_a = _only(a, first_a, ok)
         b, first_b = _only(b, first_b, ok)

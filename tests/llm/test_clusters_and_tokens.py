@@ -333,3 +333,18 @@ def test_language_model_folds_bounded_slices(monkeypatch):
     whole = dict(zip(pair, lm.pair_logs(pair, n, top)))
     assert all(abs(whole[k] - x) < 1e-12 for p, m in parts for k, x in zip(p, lm.pair_logs(p, m, top)))
     assert not list(lm._slices(pair[:0], n[:0]))
+
+
+def test_alignment_splits_ascii_texts_alike_and_starts_anew(worker, monkeypatch):
+    """The written-out pattern gives the pieces of the general one; ids do not depend on what a task remembers."""
+    import random
+
+    rnd = random.Random(4)
+    texts = [chr(i) + chr(j) for i in range(128) for j in (*range(34), 39, 65, 97, 127)]
+    texts += ["".join(rnd.choices(" \t\n\x0b\x1c\x1f'sdltrevm09aZ!_", k=20)) for _ in range(2000)]
+    assert all(align.ASCII.findall(t) == worker.a.usual.findall(t) for t in texts)
+    ids, first = worker.a.laid(texts)
+    monkeypatch.setattr(align, "REMEMBERED", 0)
+    again, first_again = worker.a.laid(texts + ["é x", ""])
+    assert again[:len(ids)].tolist() == ids.tolist() and first_again[:len(first)].tolist() == first.tolist()
+    assert first_again[-1] == first_again[-2] and len(worker.a.ends) > 1
