@@ -348,3 +348,67 @@ def test_alignment_splits_ascii_texts_alike_and_starts_anew(worker, monkeypatch)
     again, first_again = worker.a.laid(texts + ["é x", ""])
     assert again[:len(ids)].tolist() == ids.tolist() and first_again[:len(first)].tolist() == first.tolist()
     assert first_again[-1] == first_again[-2] and len(worker.a.ends) > 1
+
+
+def test_language_model_contexts_are_always_six_bytes(spark, tmp_path):
+    """op9_lm against the definition: what one more bit adds to the weighted probability of the training bits."""
+    import zlib
+
+    texts = ["new york new york", "new jersey", "a york", "new  york\nnew", "\0a b", "naïve york", "new york", "new jork", "", None]
+    rows = [(i, t) for i, t in enumerate(texts * 2)]
+    learned = [t or "" for i, t in rows if zlib.crc32(str(i).encode()) % 10]
+    assert 0 < len(learned) < len(rows)
+
+    def steps(text):
+        data = b" " * 6 + text.encode()
+        for at in range(6, len(data)):
+            for bit in range(8):
+                yield (1 << bit) + (data[at] >> 8 - bit), data[at - 6:at], data[at] >> 7 - bit & 1
+
+    seen = {}
+    for text in learned:
+        for decision, context, bit in steps(text):
+            seen.setdefault(decision, {}).setdefault(context, [0, 0])[bit] += 1
+
+    def weighted(counts, depth):
+        a, b = map(sum, zip(*counts.values()))
+        own = math.lgamma(a + .5) + math.lgamma(b + .5) - math.lgamma(a + b + 1) - math.log(math.pi)
+        if depth == 6:
+            return own
+        parts = {}
+        for context, n in counts.items():
+            parts.setdefault(context[5 - depth], {})[context] = n
+        return np.logaddexp(own, sum(weighted(p, depth + 1) for p in parts.values())) - math.log(2)
+
+    def score(text):
+        total = 0.0
+        for decision, context, bit in steps(text):
+            was = seen.get(decision, {})
+            now = was | {context: [n + (k == bit) for k, n in enumerate(was.get(context, (0, 0)))]}
+            total += weighted(now, 0) - (weighted(was, 0) if was else 0.0)
+        return total / math.log(10)
+
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.score for r in CATALOG["op9_lm"].run(spark, str(tmp_path)).collect()}
+    assert got == pytest.approx({i: score(t or "") for i, t in rows}, rel=1e-9)
+
+
+def test_language_model_counts_in_parts(spark, monkeypatch):
+    """A task that hands over its pairs several times counts what a plain loop counts."""
+    from rillstream.llm import lm
+
+    texts = [f"{i % 7} some words {i}" for i in range(60)] + ["", "é"]
+    want, words = Counter(), Counter()
+    for i, t in enumerate(texts):
+        data = b" " * 6 + t.encode()
+        for at in range(6, len(data)):
+            want[int.from_bytes(data[at - 6:at + 1], "big")] += i % 2
+        for w in t.encode().split():
+            words[w] += i % 2
+    docs = spark.createDataFrame([(t, i % 2) for i, t in enumerate(texts)], "text string, train int")
+    for gathered in (10, 10_000):
+        monkeypatch.setattr(lm, "GATHERED", gathered)
+        counted = lm.unit_counts(docs)
+        assert {r.pair: r.n for r in lm.pair_counts(counted, lm.WHOLE).collect()} == want
+        assert Counter(r.n for r in lm.word_counts(counted).collect()) == Counter(words.values())
+    assert lm.pair_counts(counted.where(F.lit(False)), lm.WHOLE).count() == 0
