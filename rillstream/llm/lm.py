@@ -94,9 +94,12 @@ def _counts(counted: DataFrame, keys_of, name: str) -> DataFrame:
 
 
 def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order with their sums; empties ``parts``, so that no array is held twice."""
     key, n = (np.concatenate(x) for x in zip(*parts))
+    parts.clear()
     order = np.argsort(key)
-    key, n = key[order], n[order]
+    key = key[order]
+    n = n[order]
     new = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
     return key[new], np.add.reduceat(n, new) if len(n) else n
 
